@@ -7,10 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, token_counts
+from . import decontaminate, language_id, ngram_join, suffix_dedup, token_counts
 from .base import table
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.ngram_join(docs, "doc_id", "text", n=3, percent=90).select("doc_id", "n_shingles", "component_id")
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", width=200)
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.matches(docs, "text", table(spark, sf_dir, "benchmark"), "item_id", "text", size=10)
@@ -42,6 +51,8 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op2_ngram_join,
+        op3_suffix_dedup,
         op4_decontaminate,
         op6_language_id,
         op7_token_counts,
