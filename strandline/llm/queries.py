@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, ngram_join, suffix_dedup, token_counts
+from . import decontaminate, language_id, mixing, ngram_join, suffix_dedup, token_counts
 from .base import table
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, sf_dir, "documents"), "doc_id", "source", "text").select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ngram_join.ngram_join(docs, "doc_id", "text", n=3, percent=90).select("doc_id", "n_shingles", "component_id")
@@ -51,6 +55,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_mixing,
         op2_ngram_join,
         op3_suffix_dedup,
         op4_decontaminate,
