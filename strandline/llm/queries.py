@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, mixing, ngram_join, suffix_dedup, token_counts
+from . import decontaminate, language_id, mixing, ngram_join, suffix_dedup, token_counts, warc
 from .base import table
 
 
@@ -30,6 +30,14 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found.drop("text"), "doc_id")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, folder = table(spark, sf_dir, "pages"), warc.archive_folder(spark)
+    warc.write_archives(pages, folder, "page_id", "url", "html", least=0)
+    kind = pages.schema["page_id"].dataType.simpleString()
+    number = lambda c: F.when(F.col(c) != "None", F.col(c)).cast(kind)
+    return warc.read_archives(spark, folder).select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+
+
 def held_out() -> F.Column:
     return F.crc32(F.col("doc_id").cast("string")) % 4 == 2
 
@@ -59,9 +67,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_ngram_join,
         op3_suffix_dedup,
         op4_decontaminate,
+        op5_warc,
         op6_language_id,
         op7_token_counts,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+        d AS (SELECT page_id, h, unhex(sha1(h))::BIT::VARCHAR AS bits FROM p),
+        f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
+        SELECT d.page_id, octet_length(encode(d.h)) AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + list_sum(list_transform(range(5), lambda j: CASE substr(bits, 5 * i + j + 1, 1) WHEN '1' THEN 1 << (4 - j) ELSE 0 END))::BIGINT, 1)), '') AS payload_digest,
+               CASE WHEN d.page_id = f.first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN d.page_id <> f.first THEN f.first END AS refers_to
+        FROM d JOIN f USING (h)""",
+}
