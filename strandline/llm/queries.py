@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embedding_join, language_id, mixing, ngram_join, suffix_dedup, token_counts, warc
+from . import decontaminate, embedding_join, language_id, mixing, ngram_join, suffix_dedup, token_counts, warc, wrappers
 from .base import table
 
 
@@ -64,6 +64,10 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_join.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", cosine=0.9)
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.main_text(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_language_id,
         op7_token_counts,
         op9_embedding_near_dedup,
+        op10_html_extraction,
     )
 }
 
