@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, embedding_join, language_id, mixing, ngram_join, suffix_dedup, token_counts, warc, wrappers
+from . import decontaminate, embedding_join, language_id, mixing, ngram_join, quotations, suffix_dedup, token_counts, warc, wrappers
 from .base import table
 
 
@@ -60,6 +60,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), "doc_id", "text", vocabulary(), limit=512)
 
 
+def op8_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotations.reply_ordered(table(spark, sf_dir, "conversations"))
+
+
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_join.near_duplicates(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", cosine=0.9)
 
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_warc,
         op6_language_id,
         op7_token_counts,
+        op8_quotation_linking,
         op9_embedding_near_dedup,
         op10_html_extraction,
     )
