@@ -8,11 +8,13 @@ needs. So far the method; around it:
 - Equal sets are one class (128-bit fingerprint of the set), and only the class's smallest id goes on.
 - Blocks for the tries come from exact signatures, not from frequent n-grams. Sets with Jaccard >= t and sizes up to
   s differ in at most d = (1-t)/(1+t)*2s members, so if members are dealt by hash into d+1 parts, one part
-  agrees as a whole. Each document emits one signature for each part (about 0.15 n of them, for its own band of
+  agrees as a whole. Each document emits one signature for each part (0.2 n of them at 0.9, for its own band of
   sizes and the next one if a partner can be there). An empty part, which would agree with too many, is replaced by
   its neighbour part with up to one member left out; by the same counting no pair is lost.
-- Documents that share a signature are joined to the smallest id with it (linear in the documents), the components
-  of these candidates are blocks, and every block's sets travel once, to its own trie.
+- Signatures travel in packed arrays, one row for each bucket of a batch. A signature that several documents of a
+  batch have is settled there: they are linked to the smallest id, and only that id goes on; so however many
+  documents share one, few entries of it travel. A bucket sorts its signatures and links equal ones likewise.
+- The components of these candidate links are blocks, and every block's sets travel once, to its own trie.
 - Within a block a union-find keeps components; documents outside the largest one are probed, the most central
   first. A family of copies with edits around one original ends after few probes.
 
@@ -37,7 +39,8 @@ from .base import pieces, stored, utf8
 from .components import connected_components
 from .textscan import NOT_SPACE, Words, mix
 
-RATIO = 1.25
+#: Of a band's sizes; about the fewest signatures for similarities of 0.8 and 0.9.
+RATIO = 1.4
 
 
 def shingle_sets(texts: pa.Array, n: int) -> list[np.ndarray]:
@@ -198,15 +201,71 @@ def block_components(ids: list[int], sets: list[np.ndarray], percent: int) -> li
     return vertex[label[np.searchsorted(vertex, np.array(ids))]].tolist()
 
 
+def linked(signs: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each signature with its smallest id, and a link (id, smallest id) for every other id that has it."""
+    order = np.lexsort((ids, signs))
+    signs, ids = signs[order], ids[order]
+    first = np.concatenate((np.ones(min(1, len(signs)), bool), signs[1:] != signs[:-1]))
+    hub = ids[np.maximum.accumulate(np.where(first, np.arange(len(ids)), 0))]
+    other = ids != hub
+    edges = np.unique(np.stack((ids[other], hub[other]), axis=1), axis=0)
+    return signs[first], ids[first], edges[:, 0], edges[:, 1]
+
+
+def _packed(buckets: int):  # noqa: ANN202
+    """(id, signs) rows -> (bucket, signs, ids) of a bucket, or with null signs the links found in the batch: (bucket, null, ids, hubs)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            signs, ids = lists.flatten().to_numpy(), np.repeat(batch.column(0).to_numpy(), np.diff(lists.offsets.to_numpy()))
+            signs, ids, a, b = linked(signs, ids)
+            bucket = (mix(signs.view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            at = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            full = np.flatnonzero(at[1:] > at[:-1]).tolist()
+            parts = [order[at[k] : at[k + 1]] for k in full]
+            rows = [(k, signs[p].tobytes(), ids[p].tobytes(), None) for k, p in zip(full, parts, strict=True)]
+            if len(a):
+                rows.append((int(a[0]) % buckets, None, a.tobytes(), b.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)] if rows else [pa.array([], t) for t in (pa.int32(), pa.binary(), pa.binary(), pa.binary())], ["bucket", "signs", "ids", "hubs"])
+
+    return run
+
+
+def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of _packed() in order of bucket -> links (a, b)."""
+
+    def links(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    def settle(held: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        found = linked(np.concatenate([np.frombuffer(s, np.int64) for s, _ in held]), np.concatenate([np.frombuffer(i, np.int64) for _, i in held]))
+        return links(found[2], found[3])
+
+    now, held = None, []
+    for batch in batches:
+        for bucket, signs, ids, hubs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if signs is None:
+                yield links(np.frombuffer(ids, np.int64), np.frombuffer(hubs, np.int64))
+                continue
+            if bucket != now and held:
+                yield settle(held)
+                held = []
+            now = bucket
+            held.append((signs, ids))
+    if held:
+        yield settle(held)
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
 
 def ngram_join(df: DataFrame, id_col: str, text_col: str, n: int = 3, percent: int = 90) -> DataFrame:
-    """id, n_shingles, class_id (smallest id with an equal set) and component_id of every row."""
-    bands = Bands(percent)
-    kind = df.schema[id_col].dataType.simpleString()
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """id (an integer), n_shingles, class_id (smallest id with an equal set) and component_id of every row."""
+    bands, kind = Bands(percent), "long"
+    docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -226,9 +285,10 @@ def ngram_join(df: DataFrame, id_col: str, text_col: str, n: int = 3, percent: i
     scanned = stored(docs.mapInArrow(sets, f"id {kind}, n_shingles long, f1 long, f2 long, signs array<long>"))
     named = scanned.filter("n_shingles > 0 and id is not null")
     classes = named.groupBy("f1", "f2", "n_shingles").agg(F.min("id").alias("class_id"))
-    signs = named.filter(F.size("signs") > 0).join(classes, ["f1", "f2", "n_shingles"]).filter("id = class_id").select("id", F.explode("signs").alias("sign"))
-    hubs = signs.groupBy("sign").agg(F.min("id").alias("hub"), F.max("id").alias("top")).filter("hub < top").drop("top")
-    candidates = signs.join(hubs, "sign").filter("id <> hub").select(F.col("id").alias("a"), F.col("hub").alias("b"))
+    signs = named.filter(F.size("signs") > 0).join(classes, ["f1", "f2", "n_shingles"]).filter("id = class_id").select("id", "signs")
+    buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = signs.mapInArrow(_packed(buckets), "bucket int, signs binary, ids binary, hubs binary")
+    candidates = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_matched, "a long, b long")
     blocks = connected_components(candidates).withColumnRenamed("node", "id")
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
