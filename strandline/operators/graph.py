@@ -6,6 +6,8 @@ several types, and are kept apart.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -142,28 +144,26 @@ def force_graph(edge: DataFrame, node: DataFrame) -> tuple[DataFrame, DataFrame]
     return node.select("doc_id", F.col("name").alias("id"), "type", "deg", ontology.colour_of(F.col("type")).alias("color")), edge.select("doc_id", F.col("src").alias("source"), F.col("dst").alias("target"), "code")
 
 
-def components(pairs: DataFrame, by: str, checkpoint: bool = True) -> DataFrame:
+def components(pairs: DataFrame, by: str) -> DataFrame:
     """Connected components of pairs (by, a, b) within `by`: by, node, component (smallest). Min-label rounds with
     pointer jumping; every round is cut by a checkpoint."""
-    cut = _cut if checkpoint else (lambda d: d)
-    both = cut(pairs.select(by, "a", "b").union(pairs.select(by, F.col("b"), F.col("a"))).distinct())
-    label = cut(both.groupBy(by, F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
+    both = cut_lineage(pairs.select(by, "a", "b").union(pairs.select(by, F.col("b"), F.col("a"))).distinct())
+    label = cut_lineage(both.groupBy(by, F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
     while True:
         near = both.join(label.select(by, F.col("node").alias("b"), F.col("component").alias("c")), [by, "b"]).groupBy(by, F.col("a").alias("node")).agg(F.min("c").alias("c"))
         nearer = label.join(near, [by, "node"], "left").select(by, "node", "component", F.least("component", F.coalesce("c", "component")).alias("c"))
         up = nearer.select(by, F.col("node").alias("c"), F.col("c").alias("jump"))
-        new = cut(nearer.join(up, [by, "c"], "left").select(by, "node", F.col("component").alias("old"), F.least("c", F.coalesce("jump", "c")).alias("component")))
+        new = cut_lineage(nearer.join(up, [by, "c"], "left").select(by, "node", F.col("component").alias("old"), F.least("c", F.coalesce("jump", "c")).alias("component")))
         changed = not new.filter("old <> component").isEmpty()
         label = new.drop("old")
         if not changed:
             return label
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    import tempfile
-
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """df as a checkpoint in the shared folder that the cluster names (a temporary one where none is set, as in tests):
+    plans of loops stay short, and a lost executor costs one read."""
     sc = df.sparkSession.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strandline-"))
     return df.checkpoint(eager=True)
-

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import ontology
 from ..functions.triples import is_complete
-from .graph import _cut, causal
+from .graph import causal, cut_lineage
 
 DAMPING, ROUNDS, LPA_ROUNDS = 0.85, 60, 30
 DEEPEST, BUDGET, KEEP = 6, 2500, 28
@@ -53,14 +53,14 @@ def pagerank(edge: DataFrame, node: DataFrame, damping: float = DAMPING, rounds:
 def pagerank_rounds(edge: DataFrame, node: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
     """The same by DataFrame rounds: one join and one sum a round, each cut by a checkpoint."""
     links = edge.select("doc_id", "src", "dst").distinct()
-    links = _cut(links.join(links.groupBy("doc_id", "src").agg(F.count("*").alias("out")), ["doc_id", "src"]))
+    links = cut_lineage(links.join(links.groupBy("doc_id", "src").agg(F.count("*").alias("out")), ["doc_id", "src"]))
     size = node.groupBy("doc_id").agg(F.count("*").alias("n"))
-    rank = _cut(node.select("doc_id", "name").join(size, "doc_id").join(links.select("doc_id", F.col("src").alias("name"), F.lit(True).alias("leads")).distinct(), ["doc_id", "name"], "left").withColumn("r", 1 / F.col("n")))
+    rank = cut_lineage(node.select("doc_id", "name").join(size, "doc_id").join(links.select("doc_id", F.col("src").alias("name"), F.lit(True).alias("leads")).distinct(), ["doc_id", "name"], "left").withColumn("r", 1 / F.col("n")))
     for _ in range(rounds):
         given = links.join(rank.select("doc_id", F.col("name").alias("src"), "r"), ["doc_id", "src"]).groupBy("doc_id", F.col("dst").alias("name")).agg(F.sum(F.col("r") / F.col("out")).alias("got"))
         lost = rank.groupBy("doc_id").agg(F.sum(F.when(F.col("leads").isNull(), F.col("r")).otherwise(0.0)).alias("lost"))
         new = (1 - damping) / F.col("n") + damping * (F.coalesce("got", F.lit(0.0)) + F.col("lost") / F.col("n"))
-        rank = _cut(rank.drop("r").join(lost, "doc_id").join(given, ["doc_id", "name"], "left").withColumn("r", new).drop("got", "lost"))
+        rank = cut_lineage(rank.drop("r").join(lost, "doc_id").join(given, ["doc_id", "name"], "left").withColumn("r", new).drop("got", "lost"))
     return rank.select("doc_id", "name", F.col("r").alias("pagerank"))
 
 
@@ -97,29 +97,30 @@ def communities_in_step(edge: DataFrame, node: DataFrame, rounds: int = 3) -> Da
     a lone pair would swap labels for ever); labels are names, equal votes go to the smallest. Not equal to the other mode."""
     links = edge.filter("src <> dst").select("doc_id", F.col("src").alias("name"), F.col("dst").alias("other"))
     links = links.union(links.select("doc_id", "other", "name")).distinct()
-    links = _cut(links.union(node.select("doc_id", "name", "name")))
+    links = cut_lineage(links.union(node.select("doc_id", "name", "name")))
     label = node.select("doc_id", "name", F.col("name").alias("label"))
     for _ in range(rounds):
         votes = links.join(label.select("doc_id", F.col("name").alias("other"), "label"), ["doc_id", "other"]).groupBy("doc_id", "name", "label").agg(F.count("*").alias("n"))
-        label = _cut(votes.groupBy("doc_id", "name").agg(F.min(F.struct((-F.col("n")).alias("n"), "label"))["label"].alias("label")))
+        label = cut_lineage(votes.groupBy("doc_id", "name").agg(F.min(F.struct((-F.col("n")).alias("n"), "label"))["label"].alias("label")))
     return label
 
 
 def all_causal_paths(edge: DataFrame, node: DataFrame, deepest: int = DEEPEST) -> DataFrame:
     """doc_id, path (array), last_type, score: every simple path of 3 to `deepest` nodes from a source of the causal graph to a
     sink or a damage; a damage as the second node goes on. By joins of a frontier, so the number of paths is not bounded
-    by one task; each length is kept for the next. Parallel edges count once (ranking keeps one path of each pair of ends and length anyway)."""
-    c = causal(edge).select("doc_id", "src", "dst").distinct().persist()
+    by one task; each length is a checkpoint. Parallel edges count once (ranking keeps one path of each pair of ends and length anyway)."""
+    c = cut_lineage(causal(edge).select("doc_id", "src", "dst").distinct())
     ins, outs = c.select("doc_id", F.col("dst").alias("src")).distinct(), c.select("doc_id", F.col("src").alias("last"), F.lit(True).alias("leads")).distinct()
     kinds = node.select("doc_id", F.col("name").alias("last"), ontology.axis_of(F.col("type")).alias("axis"), "deg")
-    about = kinds.join(outs, ["doc_id", "last"], "left").persist()
+    about = cut_lineage(kinds.join(outs, ["doc_id", "last"], "left"))
     starts = c.join(ins, ["doc_id", "src"], "left_anti").select("doc_id", F.col("src").alias("last")).distinct()
     front = starts.join(about, ["doc_id", "last"]).select("doc_id", "last", F.array("last").alias("path"), F.col("deg").alias("score"))
     found = []
     for length in range(2, deepest + 1):
         step = front.join(c.withColumnRenamed("src", "last"), ["doc_id", "last"]).filter(~F.array_contains("path", F.col("dst")))
         step = step.select("doc_id", F.col("dst").alias("last"), F.array_append("path", F.col("dst")).alias("path"), "score")
-        step = step.join(about, ["doc_id", "last"]).withColumn("score", F.col("score") + F.col("deg")).persist()
+        step = step.join(about, ["doc_id", "last"]).withColumn("score", F.col("score") + F.col("deg"))
+        step = cut_lineage(step)
         if length >= 3:
             found.append(step.filter("leads is null or axis = 'Damage'").select("doc_id", "path", "score"))
             step = step.filter("leads is not null and axis <> 'Damage'")

@@ -49,12 +49,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def graph_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Edges and nodes, computed once for queries that use them repeatedly."""
-    edge = graph.edges(triples(spark, sf_dir)).persist()
-    return edge, graph.nodes(edge).persist()
+    edge = graph.cut_lineage(graph.edges(triples(spark, sf_dir)))
+    return edge, graph.cut_lineage(graph.nodes(edge))
 
 
 def paths_of(edge: DataFrame, node: DataFrame) -> DataFrame:
-    return iterative.best_paths(iterative.all_causal_paths(edge, node)).persist()
+    return graph.cut_lineage(iterative.best_paths(iterative.all_causal_paths(edge, node)))
 
 
 # ---- text and documents
