@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandline.llm import decontaminate, language_id, mixing, ngram_join, suffix_dedup
-from strandline.llm.base import stored, table
+from strandline.llm.base import apart, restored, stored, table
 
 #: Near-duplicates: words of a shingle, and least similarity in percent.
 SHINGLE, SIMILAR = 5, 80
@@ -24,8 +24,9 @@ ORACLE_SQL: str | None = None
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language; profiles come from the labelled rows, predictions from texts alone."""
     profiles = language_id.learn(docs, "lang", "text", F.xxhash64(F.lit("language"), "doc_id"))
-    found = language_id.identify(docs, "text", profiles, lang_as="__lang", score_as="__score")
-    return found.filter(F.col("__lang") != language_id.UNKNOWN).select(*docs.columns)
+    own, names = apart(docs)
+    found = language_id.identify(own, names["text"], profiles)
+    return restored(found.filter(F.col("lang_pred") != language_id.UNKNOWN), names, [])
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,18 +38,20 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the byte strings that repeat; a document of which nothing is left goes."""
-    cut = suffix_dedup.remove_repeats(docs, "doc_id", "text", width=REPEAT_BYTES, with_text=True)
-    left = cut.filter((F.col("n_removed") == 0) | (F.length(F.trim("kept")) > 0))
-    changed = left.withColumn("text", F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return changed.select(*docs.columns)
+    own, names = apart(docs)
+    text, changed = names["text"], F.col("n_removed") > 0
+    cut = suffix_dedup.remove_repeats(own, names["doc_id"], text, width=REPEAT_BYTES, with_text=True)
+    left = cut.filter(~changed | (F.length(F.trim("kept")) > 0))
+    if "n_chars" in names:
+        left = left.withColumn(names["n_chars"], F.when(changed, F.length("kept")).otherwise(F.col(names["n_chars"])).cast(docs.schema["n_chars"].dataType))
+    return restored(left.withColumn(text, F.when(changed, F.col("kept")).otherwise(F.col(text))), names, [])
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    found = decontaminate.matches(docs, "text", table(spark, sf_dir, "benchmark"), "item_id", "text", size=WINDOW_WORDS)
-    return found.filter(F.size("hits") == 0).select(*docs.columns)
+    own, names = apart(docs)
+    found = decontaminate.matches(own, names["text"], table(spark, sf_dir, "benchmark"), "item_id", "text", size=WINDOW_WORDS)
+    return restored(found.filter(F.size("hits") == 0), names, [])
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

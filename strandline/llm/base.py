@@ -41,6 +41,17 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def apart(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """df with columns __0, __1, ... that clash with nothing, and the new name of each."""
+    names = {c: f"__{k}" for k, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
+def restored(df: DataFrame, names: dict[str, str], added: list[str]) -> DataFrame:
+    """apart() undone, with the added columns; an own column of the same name gives way to an added one."""
+    return df.select(*[df[new].alias(old) for old, new in names.items() if old not in added], *added)
+
+
 def text_key(text: Column) -> list[Column]:
     """Two 64-bit hashes that name a text (null as empty), by built-in functions."""
     t = F.coalesce(text, F.lit(""))
@@ -59,7 +70,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def pieces(batch: pa.RecordBatch, name: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, name: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose texts have at most `most` bytes together, or one row each; whole rows always."""
     sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(name))), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(sizes)
