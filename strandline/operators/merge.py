@@ -102,8 +102,8 @@ def warnings(triples: DataFrame) -> DataFrame:
 
 
 def document_metadata(triples: DataFrame, label: str, version: str) -> DataFrame:
-    """Per document: counts and both distributions as maps; always derived from the triples as they are."""
-    types = entity_mentions(triples).groupBy("doc_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("type", "mentions")))).alias("entity_mention_distribution"))
+    """Per document: counts and both distributions as maps; always derived from the triples as they are; a null type or code is ''."""
+    types = entity_mentions(triples).groupBy("doc_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.coalesce("type", F.lit("")), "mentions")))).alias("entity_mention_distribution"))
     codes = triples.groupBy("doc_id", "code").agg(F.count("*").alias("n"))
-    codes = codes.groupBy("doc_id").agg(F.sum("n").alias("triple_count"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("code", "n")))).alias("predicate_distribution"))
+    codes = codes.groupBy("doc_id").agg(F.sum("n").alias("triple_count"), F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.coalesce("code", F.lit("")), "n")))).alias("predicate_distribution"))
     return codes.join(types, "doc_id").withColumns({"source_document": F.coalesce("doc_id", F.lit(label)), "ontology_version": F.lit(version)})
