@@ -88,7 +88,49 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: op3 has none: by 200-byte windows it takes minutes on the smallest tables. Its tests are brute force.
+#: Components of links l(a, b) over the ids of a table, by reachability.
+_REACH = "u AS (SELECT a, b FROM l UNION SELECT b, a FROM l), r(a, b) AS (SELECT a, b FROM u UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a), c AS (SELECT a, min(b) AS m FROM r GROUP BY a)"
+
 ORACLE_SQL: dict[str, str] = {
+    "op1_mixing": """
+        WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
+        s AS (SELECT *, [5.0::DOUBLE, 2, 1][(rank - 1) % 3 + 1] AS w FROM (SELECT source, sum(size)::BIGINT AS n, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM d GROUP BY source)),
+        o AS (SELECT *, row_number() OVER (ORDER BY n / w, rank) AS k FROM s),
+        v AS (SELECT *, 3.0::DOUBLE * n AS lim, (sum(n) OVER () - coalesce(sum(3 * n) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE / sum(w) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev FROM o),
+        t AS (SELECT source, n, rank, coalesce(least(lim, w * (SELECT arg_min(lev, k) FROM v WHERE lev <= lim / w)), 0) AS target FROM v),
+        -- seats one by one: the highest quotients of target / (2 k - 1)
+        q AS (SELECT *, round(sum(target) OVER () / 16)::BIGINT AS seats FROM t),
+        b AS (SELECT source, count(*) FILTER (place <= seats) AS blocks FROM (SELECT source, seats, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, source NULLS LAST) AS place FROM q, LATERAL (SELECT unnest(range(1, seats + 1)) AS k) WHERE target > 0 AND k <= target / 16 + 20) GROUP BY source),
+        p AS (SELECT d.*, t.n AS source_size, t.target, ('0x' || substr(md5('1:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT % greatest(ceil(t.n / 262144)::BIGINT, 1) AS shard,
+              ('0x' || substr(md5('2:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT AS place FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+        -- one shard a source at this size: all its blocks are the shard's
+        h AS (SELECT source, shard, z, least(coalesce(blocks, 0), 3 * there) AS quota, there FROM (SELECT p.source, shard, sum(size)::BIGINT AS z, ceil(sum(size) / 16)::BIGINT AS there FROM p GROUP BY ALL) x LEFT JOIN b USING (source)),
+        g AS (SELECT *, quota // greatest(there, 1) AS rounds, quota % greatest(there, 1) AS arc, CASE WHEN there > 0 THEN ('0x' || substr(md5('3:' || coalesce(source, 'null') || ':' || shard), 1, 8))::BIGINT % there ELSE 0 END AS f FROM h),
+        y AS (SELECT p.*, z, rounds, arc, f, there, sum(size) OVER (PARTITION BY p.source, p.shard ORDER BY place, doc_id NULLS LAST, size) AS e FROM p JOIN g ON p.source IS NOT DISTINCT FROM g.source AND p.shard = g.shard)
+        SELECT doc_id, size, source_size, target, (rounds * size + greatest(least(e, (f + arc) * 16, z) - greatest(e - size, f * 16), 0) + greatest(least(e, greatest(f + arc - there, 0) * 16, z) - (e - size), 0))::BIGINT AS taken FROM y""",
+    "op2_ngram_join": f"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        g AS (SELECT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+        i AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS i FROM g x JOIN g y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL),
+        l AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 90 * (x.n + y.n - i)), {_REACH}
+        SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(m, w.doc_id)) AS component_id FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.a = w.doc_id""",
+    "op4_decontaminate": f"""
+        WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+        b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+        k AS (SELECT item_id, least(len(w), 10) AS n, unnest(list_transform(range(1, greatest(len(w) - 10, 0) + 2), lambda i: array_to_string(w[i : i + least(len(w), 10) - 1], ' '))) AS t FROM b WHERE len(w) > 0),
+        p AS (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS t FROM d, (SELECT DISTINCT n FROM k) x, LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS i)),
+        h AS (SELECT doc_id, item_id, i, p.n FROM p JOIN k ON p.n = k.n AND p.t = k.t),
+        s AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM h) GROUP BY doc_id),
+        g AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids FROM h GROUP BY doc_id)
+        SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated FROM d LEFT JOIN s USING (doc_id) LEFT JOIN g USING (doc_id)""",
+    "op9_embedding_near_dedup": f"""
+        WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) > 0),
+        l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id < y.vec_id WHERE list_cosine_similarity(x.e, y.e) >= 0.9), {_REACH},
+        n AS (SELECT a, count(*) AS n FROM u GROUP BY a)
+        SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id, least(vec_id, coalesce(m, vec_id)) = vec_id AS kept FROM embeddings LEFT JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id""",
     "op5_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
         d AS (SELECT page_id, h, unhex(sha1(h))::BIT::VARCHAR AS bits FROM p),
