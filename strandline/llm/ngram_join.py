@@ -11,9 +11,13 @@ needs. So far the method; around it:
   agrees as a whole. Each document emits one signature for each part (0.2 n of them at 0.9, for its own band of
   sizes and the next one if a partner can be there). An empty part, which would agree with too many, is replaced by
   its neighbour part with up to one member left out; by the same counting no pair is lost.
-- Signatures travel in packed arrays, one row for each bucket of a batch. A signature that several documents of a
-  batch have is settled there: they are linked to the smallest id, and only that id goes on; so however many
+- Signatures travel in packed arrays, one row for each bucket of a task. A signature that several classes of a
+  task have is settled there: its classes are linked to the smallest of them, and only that one goes on; so however many
   documents share one, few entries of it travel. A bucket sorts its signatures and links equal ones likewise.
+- With `sketched` (by default for similarities below 0.9, whose parts are small enough to lie within a passage that
+  many documents share) a bucket names the members of each shared signature instead, and these meet again with
+  their parity sketches: each member flips one of about n bits, so the bits in which two sketches differ never exceed
+  the symmetric difference, and pairs that differ in too many are no candidates. It prunes, and loses no pair.
 - The components of these candidate links are blocks, and every block's sets travel once, to its own trie.
 - Within a block a union-find keeps components; documents outside the largest one are probed, the most central
   first. A family of copies with edits around one original ends after few probes.
@@ -212,23 +216,146 @@ def linked(signs: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return signs[first], ids[first], edges[:, 0], edges[:, 1]
 
 
-def _packed(buckets: int):  # noqa: ANN202
-    """(id, signs) rows -> (bucket, signs, ids) of a bucket, or with null signs the links found in the batch: (bucket, null, ids, hubs)."""
+def parity_sketch(members: np.ndarray) -> bytes:
+    """A power of two of bits, at least as many as members; each member flips one."""
+    bits = 1 << max(6, (len(members) - 1).bit_length())
+    at = (mix(members ^ np.uint64(0x3C79AC492BA7B653)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=bits) % 2 == 1, bitorder="little").tobytes()
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of 64-bit words of one width, the smallest; the wider are folded onto it, which keeps parities."""
+    width = min(map(len, sketches))
+    rows = np.empty((len(sketches), width // 8), np.uint64)
+    for k, s in enumerate(sketches):
+        rows[k] = np.bitwise_xor.reduce(np.frombuffer(s, np.uint64).reshape(-1, width // 8), axis=0)
+    return rows
+
+
+def compatible(ids: np.ndarray, sizes: np.ndarray, sketches: list[bytes], percent: int) -> list[tuple[int, int]]:
+    """Links that connect all members of a group that may be similar, as far as sizes and sketches tell."""
+    words, label, out = folded(sketches), np.arange(len(ids)), []
+    for k in range(len(ids) - 1):
+        other = np.flatnonzero(label[k + 1 :] != label[k]) + k + 1
+        if not len(other):
+            continue
+        differ = np.bitwise_count(words[other] ^ words[k]).sum(axis=1)
+        near = (100 + percent) * differ.astype(np.int64) <= (100 - percent) * (sizes[other] + sizes[k])
+        near &= (percent * np.maximum(sizes[other], sizes[k]) <= 100 * np.minimum(sizes[other], sizes[k]))
+        for j in other[near].tolist():
+            if label[j] != label[k]:
+                out.append((max(ids[j], ids[k]), min(ids[j], ids[k])))
+                label[label == label[j]] = label[k]
+    return out
+
+
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of _packed(whole=True) in order of bucket -> (class, signature) of every signature that several classes have."""
+
+    def settle(held: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+        signs, ids = (np.concatenate([np.frombuffer(h[k], np.int64) for h in held]) for k in (0, 1))
+        order = np.argsort(signs, kind="stable")
+        signs, ids = signs[order], ids[order]
+        edge = signs[1:] != signs[:-1]
+        shared = ~(np.concatenate(([True], edge)) & np.concatenate((edge, [True])))
+        return pa.RecordBatch.from_arrays([pa.array(ids[shared]), pa.array(signs[shared])], ["f1", "sign"])
+
+    now, held = None, []
+    for batch in batches:
+        for bucket, signs, ids, _ in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if bucket != now and held:
+                yield settle(held)
+                held = []
+            now = bucket
+            held.append((signs, ids))
+    if held:
+        yield settle(held)
+
+
+def _pruned(percent: int):  # noqa: ANN202
+    """(sign, class, n_shingles, sketch) in order of sign -> candidate links (a, b)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, ...]] = set()
+        edges: set[tuple[int, int]] = set()
+
+        def settle(rows: list[tuple]) -> None:
+            rows = sorted({r[0]: r for r in rows}.values())
+            key = tuple(r[0] for r in rows)
+            if len(rows) > 1 and key not in seen:  # the same members under another signature
+                seen.add(key)
+                edges.update(compatible(np.array(key), np.array([r[1] for r in rows]), [r[2] for r in rows], percent))
+
+        def flush() -> pa.RecordBatch:
+            found = sorted(edges)
+            edges.clear()
+            if len(seen) > 100_000:
+                seen.clear()
+            return pa.RecordBatch.from_arrays([pa.array([int(e[0]) for e in found], pa.int64()), pa.array([int(e[1]) for e in found], pa.int64())], ["a", "b"])
+
+        now, rows = None, []
         for batch in batches:
-            lists = batch.column(1)
-            signs, ids = lists.flatten().to_numpy(), np.repeat(batch.column(0).to_numpy(), np.diff(lists.offsets.to_numpy()))
+            for sign, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if sign != now and rows:
+                    settle(rows)
+                    rows = []
+                now = sign
+                rows.append(tuple(row))
+            yield flush()
+        if rows:
+            settle(rows)
+            yield flush()
+
+    return run
+
+
+def fingerprints(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each set. The first names its class in signatures and candidate links."""
+    with np.errstate(over="ignore"):
+        one = np.array([np.sum(mix(s)) for s in sets], np.uint64)
+        two = np.array([np.sum(mix(s ^ np.uint64(0xC3C3C3C33C3C3C3C))) for s in sets], np.uint64)
+    return _signed(one), _signed(two)
+
+
+#: Signatures that a task gathers before it deals them to buckets.
+GATHERED = 1 << 20
+
+
+def _packed(n: int, bands: Bands, buckets: int, whole: bool):  # noqa: ANN202
+    """Texts -> (bucket, signs, classes) of a bucket, or with null signs the links found in the task: (bucket, null, classes, hubs).
+
+    whole: every class of a shared signature goes on, none is linked here."""
+
+    def dealt(signs: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        a = b = np.zeros(0, np.int64)
+        if whole:
+            signs, ids = (np.unique(np.stack((signs, ids), axis=1), axis=0).T if len(signs) else (signs, ids))
+        else:
             signs, ids, a, b = linked(signs, ids)
-            bucket = (mix(signs.view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            at = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            full = np.flatnonzero(at[1:] > at[:-1]).tolist()
-            parts = [order[at[k] : at[k + 1]] for k in full]
-            rows = [(k, signs[p].tobytes(), ids[p].tobytes(), None) for k, p in zip(full, parts, strict=True)]
-            if len(a):
-                rows.append((int(a[0]) % buckets, None, a.tobytes(), b.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)] if rows else [pa.array([], t) for t in (pa.int32(), pa.binary(), pa.binary(), pa.binary())], ["bucket", "signs", "ids", "hubs"])
+        bucket = (mix(np.ascontiguousarray(signs).view(np.uint64) ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        at = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        full = np.flatnonzero(at[1:] > at[:-1]).tolist()
+        rows = [(k, signs[p].tobytes(), ids[p].tobytes(), None) for k in full for p in (order[at[k] : at[k + 1]],)]
+        if len(a):
+            rows.append((int(a[0]) % buckets, None, a.tobytes(), b.tobytes()))
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], ["bucket", "signs", "ids", "hubs"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signs, ids, size = [], [], 0
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                sets = shingle_sets(part.column(0), n)
+                found = [_signed(signatures(s, bands)) for s in sets]
+                signs += found
+                ids.append(np.repeat(fingerprints(sets)[0], [len(f) for f in found]))
+                size += len(ids[-1])
+                if size >= GATHERED:
+                    yield dealt(np.concatenate(signs), np.concatenate(ids))
+                    signs, ids, size = [], [], 0
+        if size:
+            yield dealt(np.concatenate(signs), np.concatenate(ids))
 
     return run
 
@@ -262,34 +389,35 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
 
-def ngram_join(df: DataFrame, id_col: str, text_col: str, n: int = 3, percent: int = 90) -> DataFrame:
+def ngram_join(df: DataFrame, id_col: str, text_col: str, n: int = 3, percent: int = 90, sketched: bool | None = None) -> DataFrame:
     """id (an integer), n_shingles, class_id (smallest id with an equal set) and component_id of every row."""
     bands, kind = Bands(percent), "long"
+    sketched = percent < 90 if sketched is None else sketched
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
                 found = shingle_sets(part.column(1), n)
-                with np.errstate(over="ignore"):
-                    one = np.array([np.sum(mix(s)) for s in found], np.uint64)
-                    two = np.array([np.sum(mix(s ^ np.uint64(0xC3C3C3C33C3C3C3C))) for s in found], np.uint64)
-                signs = [signatures(s, bands) for s in found]
-                values = pa.array(_signed(np.concatenate(signs)))
-                offsets = pa.array(np.concatenate(([0], np.cumsum([len(s) for s in signs]))).astype(np.int32))
+                one, two = fingerprints(found)
+                sketches = pa.array([parity_sketch(s) if sketched and len(s) else None for s in found], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(_signed(one)), pa.array(_signed(two)), pa.ListArray.from_arrays(offsets, values)],
-                    ["id", "n_shingles", "f1", "f2", "signs"],
+                    [part.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(one), pa.array(two), sketches], ["id", "n_shingles", "f1", "f2", "sketch"]
                 )
 
-    scanned = stored(docs.mapInArrow(sets, f"id {kind}, n_shingles long, f1 long, f2 long, signs array<long>"))
+    scanned = stored(docs.mapInArrow(sets, f"id {kind}, n_shingles long, f1 long, f2 long, sketch binary"))
     named = scanned.filter("n_shingles > 0 and id is not null")
     classes = named.groupBy("f1", "f2", "n_shingles").agg(F.min("id").alias("class_id"))
-    signs = named.filter(F.size("signs") > 0).join(classes, ["f1", "f2", "n_shingles"]).filter("id = class_id").select("id", "signs")
     buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = signs.mapInArrow(_packed(buckets), "bucket int, signs binary, ids binary, hubs binary")
-    candidates = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_matched, "a long, b long")
-    blocks = connected_components(candidates).withColumnRenamed("node", "id")
+    packed = docs.filter("id is not null").select("text").mapInArrow(_packed(n, bands, buckets, sketched), "bucket int, signs binary, ids binary, hubs binary")
+    packed = packed.repartition("bucket").sortWithinPartitions("bucket")
+    if sketched:
+        about = named.groupBy("f1").agg(F.min("n_shingles").alias("n_shingles"), F.min("sketch").alias("sketch"))
+        members = packed.mapInArrow(_grouped, "f1 long, sign long").join(about, "f1").select("sign", "f1", "n_shingles", "sketch")
+        candidates = members.repartition("sign").sortWithinPartitions("sign").mapInArrow(_pruned(percent), "a long, b long")
+    else:
+        candidates = packed.mapInArrow(_matched, "a long, b long")
+    blocks = connected_components(candidates).join(classes.select(F.col("f1").alias("node"), F.col("class_id").alias("id")), "node").select("component", "id")
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -314,8 +442,8 @@ def ngram_join(df: DataFrame, id_col: str, text_col: str, n: int = 3, percent: i
         if ids:
             yield answer(ids, held)
 
-    blocked = docs.join(blocks, "id").select("component", "id", "text").mapInArrow(again, f"component {kind}, id {kind}, members binary")
+    blocked = docs.join(blocks, "id").select("component", "id", "text").mapInArrow(again, f"component long, id {kind}, members binary")
     joined = blocked.repartition("component").sortWithinPartitions("component", "id").mapInArrow(join, f"class_id {kind}, component_id {kind}")
     joined = joined.groupBy("class_id").agg(F.min("component_id").alias("component_id"))
-    rows = scanned.drop("signs").join(classes, ["f1", "f2", "n_shingles"], "left").join(joined, "class_id", "left")
+    rows = scanned.drop("sketch").join(classes, ["f1", "f2", "n_shingles"], "left").join(joined, "class_id", "left")
     return rows.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("component_id", "class_id", "id").alias("component_id"))
