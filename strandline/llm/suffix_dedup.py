@@ -29,8 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .base import pieces, stored, text_key, utf8
+from .base import apart, pieces, restored, stored, text_key, utf8
 from .textscan import Rolling, mix
 
 GRAM = 32
@@ -281,47 +282,85 @@ def repeated_ranges(keyed: DataFrame, width: int) -> DataFrame:
     return whole.union(single).groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
 
 
-def _cutter(width: int, with_text: bool):  # noqa: ANN202
+def _kept(raw: bytes, spans: pa.StructScalar, width: int) -> tuple[bytes, int]:
+    """What is left of a text, and the number of maximal runs cut out."""
+    ends = spans.values
+    lo, hi = ends.field(0).to_numpy(), ends.field(1).to_numpy() + width
+    reach = np.maximum.accumulate(hi)
+    first = np.flatnonzero(np.concatenate(([True], lo[1:] > reach[:-1])))
+    a, b = lo[first].tolist(), reach[np.append(first[1:] - 1, len(lo) - 1)].tolist()
+    return b"".join(raw[x:y] for x, y in zip([0, *b], [*a, len(raw)], strict=True)), len(a)
+
+
+def _cutter(width: int):  # noqa: ANN202
+    """(k1, k2, text, spans) -> n_removed, n_spans and digest of each text."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            removed, spans_of, digests, texts = [], [], [], []
-            for text, spans in zip(batch.column(2).to_pylist(), batch.column(3), strict=True):
-                raw = text.encode()
-                ends = spans.values
-                lo, hi = ends.field(0).to_numpy(), ends.field(1).to_numpy() + width
-                reach = np.maximum.accumulate(hi)
-                first = np.flatnonzero(np.concatenate(([True], lo[1:] > reach[:-1])))
-                a, b = lo[first].tolist(), reach[np.append(first[1:] - 1, len(lo) - 1)].tolist()
-                kept = b"".join(raw[x:y] for x, y in zip([0, *b], [*a, len(raw)], strict=True))
+            removed, runs, digests = [], [], []
+            for text, spans in zip(batch.column(2), batch.column(3), strict=True):
+                raw = text.as_py().encode()
+                kept, n = _kept(raw, spans, width)
                 removed.append(len(raw) - len(kept))
-                spans_of.append(len(a))
+                runs.append(n)
                 digests.append(hashlib.sha256(kept).hexdigest())
-                texts.append(kept.decode(errors="ignore") if with_text else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(spans_of, pa.int64()), pa.array(digests, pa.string()), pa.array(texts, pa.string())], ["k1", "k2", "n_removed", "n_spans", "kept_sha256", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array(digests, pa.string())], ["k1", "k2", "n_removed", "n_spans", "kept_sha256"])
+
+    return run
+
+
+ADDED = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+
+
+def _rewriter(width: int, text_col: str):  # noqa: ANN202
+    """Whole rows with __n (copies of the text) and __spans -> the rows with ADDED instead of these two."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = {name: k for k, name in enumerate(batch.schema.names)}
+            out: list[tuple] = []
+            for text, n, spans in zip(*(batch.column(at[c]) for c in (text_col, "__n", "__spans")), strict=True):
+                raw = (text.as_py() or "").encode()
+                kept, runs = raw, 0
+                if (n.as_py() or 0) > 1 and len(raw) >= width:
+                    kept, runs = b"", 1
+                elif spans.is_valid:
+                    kept, runs = _kept(raw, spans, width)
+                out.append((len(raw), len(raw) - len(kept), runs, hashlib.sha256(kept).hexdigest(), kept.decode(errors="ignore")))
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+            held = [name for name in batch.schema.names if name not in ("__n", "__spans")]
+            yield pa.RecordBatch.from_arrays([*[batch.column(at[c]) for c in held], *[pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)]], [*held, *ADDED])
 
     return run
 
 
 def remove_repeats(df: DataFrame, id_col: str, text_col: str, width: int = 200, with_text: bool = False) -> DataFrame:
-    """df's columns with n_bytes, n_removed, n_spans and kept_sha256, and with_text the remaining text as `kept`
-    (a character that a cut leaves incomplete is dropped from it, never from the digest)."""
+    """id, n_bytes, n_removed, n_spans and kept_sha256 of every row; with_text: df's own columns before these, and the
+    remaining text as `kept` (a character that a cut leaves incomplete is dropped from it, never from the digest)."""
     raw = F.coalesce(F.col(text_col), F.lit(""))
     keyed = df.select(*text_key(F.col(text_col)), F.col(id_col).alias("id"), raw.alias("text"))
-    base = df.select(*([c for c in df.columns] if with_text else [id_col]), *text_key(F.col(text_col)), F.octet_length(raw).cast("long").alias("n_bytes"), F.sha2(raw.cast("binary"), 256).alias("__all"))
-    slim = base if with_text else stored(base)
     spans = stored(repeated_ranges(keyed, width))
-    copies = (slim if not with_text else base.select("k1", "k2")).groupBy("k1", "k2").agg(F.count("*").alias("n"))
+    if with_text:
+        own, names = apart(df)
+        copies = keyed.groupBy("k1", "k2").agg(F.count("*").alias("__n"))
+        told = copies.join(spans.withColumnRenamed("spans", "__spans"), ["k1", "k2"], "left").filter("__n > 1 or __spans is not null")
+        text = names[text_col]
+        wide = own.withColumns({f"__{k}": c for k, c in zip(("k1", "k2"), text_key(F.col(text)), strict=True)})
+        told = told.withColumnsRenamed({"k1": "__k1", "k2": "__k2"}).withColumn("__spans", F.when(F.col("__n") == 1, F.col("__spans")))
+        schema = StructType([*own.schema.fields, *(StructField(c, LongType()) for c in ADDED[:3]), *(StructField(c, StringType()) for c in ADDED[3:])])
+        rows = wide.join(told, ["__k1", "__k2"], "left").select(*own.columns, "__n", "__spans")
+        return restored(rows.mapInArrow(_rewriter(width, text), schema), names, ADDED)
+    slim = stored(df.select(id_col, *text_key(F.col(text_col)), F.octet_length(raw).cast("long").alias("n_bytes"), F.sha2(raw.cast("binary"), 256).alias("__all")))
+    copies = slim.groupBy("k1", "k2").agg(F.count("*").alias("n"))
     todo = spans.join(copies.filter("n = 1").select("k1", "k2"), ["k1", "k2"])
     cut = keyed.filter(F.octet_length("text") >= width).join(todo, ["k1", "k2"]).select("k1", "k2", "text", "spans")
-    done = cut.mapInArrow(_cutter(width, with_text), "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string, kept string")
+    done = cut.mapInArrow(_cutter(width), "k1 long, k2 long, n_removed long, n_spans long, kept_sha256 string")
     rows = slim.join(copies, ["k1", "k2"]).join(done, ["k1", "k2"], "left")
     gone = (F.col("n") > 1) & (F.col("n_bytes") >= width)
-    out = [
+    return rows.select(
+        id_col,
         "n_bytes",
         F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(gone, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(gone, F.sha2(F.lit(b""), 256)).otherwise(F.coalesce("kept_sha256", "__all")).alias("kept_sha256"),
-    ]
-    if not with_text:
-        return rows.select(id_col, *out)
-    return rows.select(*df.columns, *out, F.when(gone, F.lit("")).otherwise(F.coalesce("kept", raw)).alias("kept"))
+    )
