@@ -20,7 +20,8 @@ needs. So far the method; around it:
   the symmetric difference, and pairs that differ in too many are no candidates. It prunes, and loses no pair.
 - The components of these candidate links are blocks, and every block's sets travel once, to its own trie.
 - Within a block a union-find keeps components; documents outside the largest one are probed, the most central
-  first. A family of copies with edits around one original ends after few probes.
+  first, until all that were not probed are in the one that is the largest then, so every link has a probed end or
+  both ends in it. A family of copies with edits around one original ends after few probes.
 
 No pair with enough similarity is missed; two unequal n-grams share a hash with odds of 2**-64 a pair.
 A block is one task's: it holds the distinct texts of one near-copy family (copies of a text are one).
@@ -194,14 +195,17 @@ def block_components(ids: list[int], sets: list[np.ndarray], percent: int) -> li
     label = np.arange(len(vertex))
     frequency = np.bincount(trie.flat, minlength=len(trie.members))
     central = np.add.reduceat(frequency[trie.flat], trie.offset[:-1]) / np.maximum(np.diff(trie.offset), 1)
-    waiting = np.argsort(-central, kind="stable")
+    order = np.argsort(-central, kind="stable")
+    probed, waiting = np.zeros(len(order), bool), order
     while len(waiting):
-        r, waiting = int(waiting[0]), waiting[1:]
+        r = int(waiting[0])
+        probed[r] = True
         linked = np.unique(label[of[trie.similar(r, percent)]])
         if len(linked) > 1:
             label[np.isin(label, linked)] = linked[0]
         kinds, sizes = np.unique(label, return_counts=True)
-        waiting = waiting[label[of[waiting]] != kinds[np.argmax(sizes)]]
+        # anew from all rows: once another component is the largest, members of the former one count again
+        waiting = order[~probed[order] & (label[of[order]] != kinds[np.argmax(sizes)])]
     return vertex[label[np.searchsorted(vertex, np.array(ids))]].tolist()
 
 

@@ -106,6 +106,58 @@ def test_signatures_and_tries_miss_nothing():
             assert ngram_join.block_components(list(range(len(sets))), sets, percent) == label
 
 
+def brute_labels(sets, percent):
+    label = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                label = [min(label[i], label[j]) if x in (label[i], label[j]) else x for x in label]
+    return label
+
+
+def test_blocks_of_drifting_chains():
+    """The largest component changes while the block is probed."""
+    gen = np.random.default_rng(11)
+
+    def edit(s, k):
+        return np.unique(np.concatenate((gen.permutation(s)[k:], gen.integers(0, 2**63, k).astype(np.uint64))))
+
+    for _ in range(400):
+        sets = [np.unique(gen.integers(0, 2**63, 40).astype(np.uint64))]
+        while len(sets) < int(gen.integers(4, 30)):
+            far = gen.random() < 0.2
+            sets.append(edit(sets[int(gen.integers(len(sets)))] if far else sets[-1], 4 if far else int(gen.integers(1, 7))))
+        for percent in (60, 80):
+            assert ngram_join.block_components(list(range(len(sets))), sets, percent) == brute_labels(sets, percent)
+
+
+class Links:
+    """In place of a trie: row r is similar to the rows that `links` names, and frequencies give the order of probes."""
+
+    def __init__(self, links, central):
+        n = len(central)
+        self.order, self.members = np.arange(n), np.arange(n)
+        self.flat = np.repeat(np.arange(n), central)
+        self.offset = np.concatenate(([0], np.cumsum(central)))
+        self.near = [np.array(sorted({r} | {a + b - r for a, b in links if r in (a, b)})) for r in range(n)]
+
+    def similar(self, r, percent):
+        return self.near[r]
+
+
+def test_two_bridged_hubs(monkeypatch):
+    p, r, q1, q2, s1, s2, s3 = range(7)
+    links = [(p, q1), (p, q2), (r, s1), (r, s2), (r, s3), (q1, s1)]
+    monkeypatch.setattr(ngram_join, "Trie", lambda _: Links(links, [9, 8, 2, 2, 1, 1, 1]))
+    assert ngram_join.block_components(list(range(7)), [None] * 7, 80) == [0] * 7
+
+
+def test_first_probe_alone(monkeypatch):
+    monkeypatch.setattr(ngram_join, "Trie", lambda _: Links([(0, 2), (2, 3), (2, 4), (3, 4)], [2, 9, 1, 8, 1]))
+    assert ngram_join.block_components(list(range(5)), [None] * 5, 80) == [0, 1, 0, 0, 0]
+
+
 def repeats(texts, width):
     starts = collections.Counter()
     raw = [(t or "").encode() for _, t in texts]
