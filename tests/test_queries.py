@@ -30,3 +30,22 @@ def test_entry(spark, sf_dir):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert os.path.isdir(sf_dir)
+
+
+def test_weak_components_of_all_documents(spark, sf_dir):
+    label = {}
+    edges = core.graph.edges(core.triples(spark, sf_dir)).select("doc_id", "src", "dst").distinct().collect()
+    for r in edges:
+        for name in (r["src"], r["dst"]):
+            label.setdefault((r["doc_id"], name), name)
+    moved = True
+    while moved:
+        moved = False
+        for r in edges:
+            a, b = (r["doc_id"], r["src"]), (r["doc_id"], r["dst"])
+            low = min(label[a], label[b])
+            moved |= label[a] != label[b]
+            label[a] = label[b] = low
+    got = core.QUERIES["weak_components"](spark, sf_dir).collect()
+    assert {d for d, _ in label} == {"geo", "trade", "behaviour"}
+    assert sorted((r["doc_id"], r["name"], r["component"]) for r in got) == sorted((d, n, c) for (d, n), c in label.items())
