@@ -92,16 +92,21 @@ def communities_in_order(edge: DataFrame, node: DataFrame, rounds: int = LPA_ROU
     return _with_nodes(edge, node).groupBy("doc_id").applyInPandas(run, "doc_id string, name string, community long")
 
 
-def communities_in_step(edge: DataFrame, node: DataFrame, rounds: int = 3) -> DataFrame:
-    """Synchronous label propagation by DataFrame rounds: doc_id, name, label. A node's own label is one vote (without it
-    a lone pair would swap labels for ever); labels are names, equal votes go to the smallest. Not equal to the other mode."""
+def communities_in_step(edge: DataFrame, node: DataFrame, rounds: int = LPA_ROUNDS) -> DataFrame:
+    """Synchronous label propagation by DataFrame rounds, until no label changes or `rounds` are done: doc_id, name, label.
+    A node's own label is one vote (without it a lone pair would swap labels for ever); labels are names, equal votes go to
+    the smallest. Not equal to the other mode."""
     links = edge.filter("src <> dst").select("doc_id", F.col("src").alias("name"), F.col("dst").alias("other"))
     links = links.union(links.select("doc_id", "other", "name")).distinct()
     links = cut_lineage(links.union(node.select("doc_id", "name", "name")))
     label = node.select("doc_id", "name", F.col("name").alias("label"))
+    own = F.max(F.when(F.col("other") == F.col("name"), F.col("label")))
     for _ in range(rounds):
-        votes = links.join(label.select("doc_id", F.col("name").alias("other"), "label"), ["doc_id", "other"]).groupBy("doc_id", "name", "label").agg(F.count("*").alias("n"))
-        label = cut_lineage(votes.groupBy("doc_id", "name").agg(F.min(F.struct((-F.col("n")).alias("n"), "label"))["label"].alias("label")))
+        votes = links.join(label.select("doc_id", F.col("name").alias("other"), "label"), ["doc_id", "other"]).groupBy("doc_id", "name", "label").agg(F.count("*").alias("n"), own.alias("own"))
+        new = cut_lineage(votes.groupBy("doc_id", "name").agg(F.min(F.struct((-F.col("n")).alias("n"), "label"))["label"].alias("label"), F.max("own").alias("old")))
+        label = new.drop("old")
+        if new.filter("old <> label").isEmpty():
+            break
     return label
 
 

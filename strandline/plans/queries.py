@@ -566,7 +566,7 @@ def communities_async(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def community_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     edge, node = graph_of(spark, sf_dir)
-    return iterative.community_table(iterative.communities_in_step(edge, node), node, "label")
+    return iterative.community_table(iterative.communities_in_order(edge, node), node, "community")
 
 
 @query(on_triples(f"SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY deg DESC, round(r, 9) DESC, name) AS place, name, type, deg, round(r, 6) AS pagerank FROM n JOIN r{iterative.ROUNDS} USING (doc_id, name) QUALIFY place <= 30", RANKS_SQL))

@@ -152,6 +152,50 @@ def test_communities(spark):
     assert {r["node"]: r["component"] for r in weak.collect()} == {"a": "a", "b": "a", "c": "a", "x": "x", "y": "x"}
 
 
+def test_communities_settle(spark, monkeypatch):
+    """A path that needs more than three rounds, and a second one that settles later."""
+    from strandline.plans import queries as core
+
+    pairs = [(f"{p}{k}", "CAUSES", f"{p}{k + 1}") for p, n in (("a", 8), ("b", 12)) for k in range(10, 10 + n)]
+    pairs += [("b22", "CAUSES", "c1"), ("c1", "CAUSES", "c2"), ("c2", "CAUSES", "c3"), ("c3", "CAUSES", "c1")]
+    edge = edges_of(spark, pairs)
+    nodes = graph.nodes(edge)
+    monkeypatch.setattr(core, "graph_of", lambda *_: (edge, nodes))
+    near = {}
+    for a, _, b in pairs:
+        near.setdefault(a, set()).add(b)
+        near.setdefault(b, set()).add(a)
+
+    def winner(labels):
+        return min(set(labels), key=lambda x: (-labels.count(x), x))
+
+    label, rounds = {x: x for x in near}, 0
+    while rounds < iterative.LPA_ROUNDS:
+        new = {x: winner([label[x], *(label[y] for y in near[x])]) for x in near}
+        rounds += 1
+        if new == label:
+            break
+        label = new
+    assert 3 < rounds < iterative.LPA_ROUNDS
+    assert {r["name"]: r["label"] for r in core.QUERIES["communities_sync"](spark, "").collect()} == label
+
+    names = list(near)  # in order of appearance
+    place = {x: k for k, x in enumerate(names)}
+    for _ in range(iterative.LPA_ROUNDS):
+        before = dict(place)
+        for x in names:
+            place[x] = winner([place[y] for y in near[x]])
+        if place == before:
+            break
+    held = {}
+    for x in names:
+        held.setdefault(place[x], []).append(x)
+    want = sorted(held.values(), key=lambda xs: -len(xs))
+    deg = {x: sum(x in (a, b) for a, _, b in pairs) for x in names}
+    got = {r["community"]: (r["size"], r["top_members"]) for r in core.QUERIES["community_table"](spark, "").collect()}
+    assert got == {k: (len(xs), ", ".join(sorted(xs, key=lambda x: (-deg[x], x))[:6])) for k, xs in enumerate(want[:15])}
+
+
 def test_resolution(spark):
     names = ["Flood", "FLOOD", "Big Flood (2008)", "Big Flood", "2010 flood", "2011 flood", "Fl"]
     rows = [("d", (k, 0), n, "Event", "CASCADES_INTO", "Sea", "Context") for k, n in enumerate(names)] + [("d", (9, 0), "Big Flood", "NaturalHazard", "TRIGGERS", "Sea", "Context")]
