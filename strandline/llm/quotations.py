@@ -2,10 +2,11 @@
 
 Lines that begin with quote marks (`>`, nested as `>>` or `> >`) are quoted; a passage is a run of lines of one
 level without a blank line between. Passages and their single lines are normalised (lower case, white space
-collapsed) and hashed. A level-1 quotation is joined to the latest earlier message of its conversation whose own
-text has that passage; a message replies to the one that most of its level-1 characters come from (equal: the
-latest). Deeper levels quote what the original itself quoted, and are counted only. Every message keeps its own
-text, without quotations and without the line that announces one ("... wrote:").
+collapsed) and hashed. A quotation of any level is joined to the latest earlier message of its conversation whose own
+text has that passage. A message replies to the one that most of its quoted characters come from (equal: the
+latest), counted at the lowest level that has an original: deeper levels quote what the original itself quoted, and
+decide only where no lower one does. Every message keeps its own text, without quotations and without the line that
+announces one ("... wrote:").
 
 Replies form a forest, as originals are earlier. Paths from each thread's first message are found by pointer
 doubling, so a thread of depth d takes log2(d) joins; sorting by (conv_id, reply_path) reads a conversation in reply
@@ -86,13 +87,13 @@ def reply_ordered(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
     schema = f"conv_id {kinds[conv_col]}, turn {kinds[turn_col]}, role {kinds[role_col]}, text string, n_quoted long, units array<struct<level:int,hash:long,chars:long>>"
     messages = stored(rows.mapInArrow(_units, schema))
     units = messages.filter("conv_id is not null and turn is not null").select("conv_id", "turn", F.inline("units"))
-    quotes = units.filter("level = 1").select("conv_id", "turn", "hash", "chars").distinct()
+    quotes = units.filter("level > 0").select("conv_id", "turn", "level", "hash", "chars").distinct()
     asked = quotes.select("conv_id", "hash").distinct()
     originals = units.filter("level = 0").join(asked, ["conv_id", "hash"], "left_semi").select("conv_id", "hash", "turn").distinct()
-    both = originals.withColumn("original", F.col("turn")).withColumn("chars", F.lit(None).cast("long")).unionByName(quotes.withColumn("original", F.lit(None).cast(kinds[turn_col])))
+    both = originals.withColumn("original", F.col("turn")).withColumn("level", F.lit(None).cast("int")).withColumn("chars", F.lit(None).cast("long")).unionByName(quotes.withColumn("original", F.lit(None).cast(kinds[turn_col])))
     earlier = Window.partitionBy("conv_id", "hash").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
     linked = both.withColumn("from", F.last("original", ignorenulls=True).over(earlier)).filter(F.col("chars").isNotNull() & F.col("from").isNotNull())
-    best = linked.groupBy("conv_id", "turn", "from").agg(F.sum("chars").alias("chars")).groupBy("conv_id", "turn").agg(F.max(F.struct("chars", "from"))["from"].alias("reply_to"))
+    best = linked.groupBy("conv_id", "turn", "level", "from").agg(F.sum("chars").alias("chars")).groupBy("conv_id", "turn").agg(F.max(F.struct((-F.col("level")).alias("nearest"), "chars", "from"))["from"].alias("reply_to"))
     # path: turns from below `above` (null: from the thread's first message) to the message
     now = durable(best.select("conv_id", "turn", "reply_to", F.col("reply_to").alias("above"), F.array("turn").alias("path")))
     while not now.filter("above is not null").isEmpty():

@@ -343,6 +343,14 @@ def test_quotations(spark):
     assert quotations.reply_ordered(table.limit(0)).count() == 0
 
 
+def test_nested_quotations(spark):
+    """Deeper levels link where level 1 has no original, the lowest first, and never outvote it."""
+    rows = [(0, "A long first message"), (1, "> A long first message\nmiddle"), (2, "> > A long first message\nonly deep"), (3, "> trimmed away\n>> middle\n>>> A long first message\nx"), (4, "> middle\n>> A long first message\ny"), (5, ">> never said\nz")]
+    table = spark.createDataFrame([(1, k, "u", t) for k, t in rows], "conv_id long, turn long, role string, text string")
+    got = {r["turn"]: (r["reply_to"], r["thread_turn"], r["depth"]) for r in quotations.reply_ordered(table).collect()}
+    assert got == {0: (None, 0, 0), 1: (0, 0, 1), 2: (0, 0, 1), 3: (1, 0, 2), 4: (1, 0, 2), 5: (None, 5, 0)}
+
+
 def test_embedding_join(spark):
     gen = np.random.default_rng(2)
     centres = gen.normal(size=(40, 16))
