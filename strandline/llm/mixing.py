@@ -5,14 +5,18 @@ source's size, and what it can't use is shared again by weight (the level where
 form: sources ascend by limit / weight, and the first whose limit lies above the level of those left ends it).
 
 The words of a source lie in shards (a hash of the document; about SHARD words each, so a hot source has many), in
-each shard in a seeded order, and are cut into blocks of BLOCK words. Blocks are allocated to sources by their
-targets, then to each source's shards by their sizes, one after another to the highest quotient
-v / (2 * seats + 1). Only the last few seats need ranking: all quotients above one bound are seats for certain,
-and all below another one are none, and both bounds leave about two candidates for each party.
+each shard in a seeded order, and are cut into blocks of BLOCK words (one: so that no source or shard has a short
+last block, and a source of few words gets its part). Blocks are allocated to sources by their targets, then to each
+source's shards by their sizes, one after another to the highest quotient v / (2 * seats + 1). Only the last few
+seats need ranking, however many there are: all quotients above one bound are seats for certain, and all below another
+one are none, and both bounds leave about two candidates for each party.
 
 A shard that gets q of its n blocks takes q div n whole rounds and, from a seeded block on, q mod n
 blocks in a circle of its (shuffled) order. A document's words taken are its whole rounds and its overlap with
-that arc, at most `most` times its size. Seeds are MD5 digests of the id, so reruns agree.
+that arc, at most `most` times its size. Seeds are MD5 digests of the id (of the text where the id is null), so reruns
+agree; rows of one id are ordered by size and a hash of the text.
+
+Windows over sources, and over the shards of one, hold a row for each (a shard is 262,144 words).
 
 Null texts and texts without words have size 0 and take 0. A null source is a source of its own, the last in
 order. Rows that repeat an id are separate documents. An empty table gives no rows.
@@ -26,7 +30,7 @@ from pyspark.sql import functions as F
 from .base import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
-BLOCK = 16
+BLOCK = 1
 SHARD = 1 << 18
 
 
@@ -79,16 +83,17 @@ def targets(sizes: DataFrame, weights: list[int], most: int) -> DataFrame:
 def mix_sources(df: DataFrame, id_col: str, source_col: str, text_col: str, weights: tuple[int, ...] = (5, 2, 1), most: int = 3, seed: int = 1, block: int = BLOCK, shard: int = SHARD, with_row: bool = False) -> DataFrame:
     """id, source, size, source_size, target and taken of every row; with_row: df's own columns too."""
     size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    rows = df.select(F.struct(*df.columns).alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"))
+    rows = df.select(F.struct(*df.columns).alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), size.alias("size"), F.when(F.col(id_col).isNull(), F.md5(text_col)).alias("unnamed"), F.xxhash64(text_col).alias("tie"))
     rows = rows if with_row else rows.drop("row")
     rows = stored(rows)
     shares = stored(targets(rows, list(weights), most))
     of_source = apportion(
         shares.withColumn("all", F.lit(1)).withColumn("seats", F.round(F.sum("target").over(Window.partitionBy("all")) / block).cast("long")), ["all"], ["source"], "target", "seats", "blocks"
     ).drop("all", "seats")
+    name = F.coalesce(F.col("id").cast("string"), "unnamed")
     parts = F.greatest(F.ceil(F.col("source_size") / shard), F.lit(1)).cast("long")
     placed = rows.join(shares.withColumnRenamed("source", "__source"), F.col("source").eqNullSafe(F.col("__source"))).drop("__source", "rank")
-    placed = placed.withColumn("shard", seeded(F.lit(seed), "id") % parts).withColumn("place", seeded(F.lit(seed + 1), "id"))
+    placed = placed.withColumn("shard", seeded(F.lit(seed), name) % parts).withColumn("place", seeded(F.lit(seed + 1), name))
     shards = placed.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"))
     shards = shards.join(of_source.select(F.col("source").alias("__source"), "blocks"), F.col("source").eqNullSafe(F.col("__source"))).drop("__source")
     shards = apportion(shards, ["source"], ["shard"], "shard_size", "blocks", "quota")
@@ -103,7 +108,7 @@ def mix_sources(df: DataFrame, id_col: str, source_col: str, text_col: str, weig
         F.when(there > 0, seeded(F.lit(seed + 2), "source", "shard") % there).otherwise(0).alias("from_block"),
         there.alias("there"),
     )
-    order = Window.partitionBy("source", "shard").orderBy("place", F.col("id").asc_nulls_last(), "size").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("source", "shard").orderBy("place", F.col("id").asc_nulls_last(), "size", "tie").rowsBetween(Window.unboundedPreceding, 0)
     laid = placed.withColumn("end", F.sum("size").over(order)).withColumn("begin", F.col("end") - F.col("size"))
     laid = laid.join(shards, F.col("source").eqNullSafe(F.col("__source")) & (F.col("shard") == F.col("__shard")))
 
