@@ -8,10 +8,11 @@ payload digest.
 A payload that several pages share is written once, as a `response`; the others are `revisit` records that refer
 to it. Pages are grouped by SHA-1, a second 64-bit hash and length with one aggregation, never gathered: a group
 of any size is one row on the joined side. Each task writes archives of at most `ARCHIVE` bytes of payload (or one
-record) into the shared folder under names of its partition number, through a temporary name, so that a repeated
-task overwrites its own files; the folder may be any store that pyarrow opens. Reading is Spark's binaryFile scan.
+record) into the shared folder, under names that no other attempt of it has; the folder may be any store that
+pyarrow opens. The archives of tasks that succeeded are listed in a manifest (a Parquet table that Spark commits), and
+only those are read, so that a lost executor's files count for nothing. Reading is Spark's binaryFile scan.
 
-A null payload is empty. Payloads shorter than `least` bytes are all responses. Of rows with equal payloads and
+Ids are percent-encoded in record ids. A null payload is empty. Payloads shorter than `least` bytes are all responses. Of rows with equal payloads and
 the same smallest id every one is a response; null ids come after all others. An empty table gives no rows.
 """
 
@@ -22,19 +23,20 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import shared_dir
+from .base import passing, shared_dir
 
 #: Magic number of the skippable frame with the dictionary, and of a Zstandard frame.
 SKIPPABLE, FRAME = 0x184D2A5D, 0xFD2FB528
 ARCHIVE = 16 << 20
 DICTIONARY_BYTES, SAMPLES = 32 << 10, 256
+MANIFEST = "_manifest"
 REQUIRED = ("WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length")
 
 
@@ -123,7 +125,7 @@ def _write(folder: str):  # noqa: ANN202
         from pyspark import TaskContext
 
         store, path = fs.FileSystem.from_uri(folder)
-        part, number = TaskContext.get().partitionId(), 0
+        part, attempt, number = TaskContext.get().partitionId(), uuid.uuid4().hex, 0
         held: list[tuple] = []
 
         def flush() -> pa.RecordBatch:
@@ -131,19 +133,17 @@ def _write(folder: str):  # noqa: ANN202
             writer = Writer([r[2] for r in held if r[2]][:SAMPLES])
             for page, url, payload, sha, refers, length in held:
                 digest = base64.b32encode(bytes.fromhex(sha)).decode()
-                common = {"WARC-Record-ID": f"<urn:page:{page}>", "WARC-Date": "1970-01-01T00:00:00Z", "WARC-Payload-Digest": f"sha1:{digest}"}
+                common = {"WARC-Record-ID": _urn(page), "WARC-Date": "1970-01-01T00:00:00Z", "WARC-Payload-Digest": f"sha1:{digest}"}
                 if url:
                     common["WARC-Target-URI"] = quote(url, safe=":/?#[]@!$&'()*+,;=%~")
                 if refers is None:
                     writer.add(record("response", common | {"Content-Type": "text/html; charset=utf-8"}, payload))
                 else:
-                    profile = {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "WARC-Refers-To": f"<urn:page:{refers}>", "X-Payload-Length": str(length)}
+                    profile = {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "WARC-Refers-To": _urn(refers), "X-Payload-Length": str(length)}
                     writer.add(record("revisit", common | profile, b""))
-            name = f"{path}/part-{part:06d}-{number:04d}.warc.zst"
-            temporary = f"{name}.{uuid.uuid4().hex}.tmp"
-            with store.open_output_stream(temporary) as out:
+            name = f"part-{part:06d}-{attempt}-{number:04d}.warc.zst"
+            with store.open_output_stream(f"{path}/{name}", compression=None) as out:
                 out.write(writer.bytes())
-            store.move(temporary, name)
             batch = pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(held)], pa.int64())], ["archive", "records"])
             held, number = [], number + 1
             return batch
@@ -163,7 +163,7 @@ def _write(folder: str):  # noqa: ANN202
 
 
 def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str | None = "url", payload_col: str = "html", least: int = 0) -> int:
-    """Writes one record for each row into archives of a (shared) folder; the number of records."""
+    """Writes one record for each row into archives of a (shared) folder; the number of records in the folder."""
     from pyarrow import fs
 
     store, path = fs.FileSystem.from_uri(folder)
@@ -177,11 +177,13 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     joined = keyed.join(first, keys, "left")
     refers = F.when(F.col("page").isNull() & F.col("first").isNotNull() | (F.col("page") != F.col("first")), F.col("first"))
     out = joined.select("page", "url", F.when(refers.isNull(), F.col("payload")).otherwise(F.lit(b"")).alias("payload"), "sha", refers.cast("string").alias("refers"), "size")
-    return out.mapInArrow(_write(folder), "archive string, records long").agg(F.coalesce(F.sum("records"), F.lit(0)).alias("n")).first()["n"]
+    out.mapInArrow(_write(folder), "archive string, records long").write.mode("append").parquet(f"{folder}/{MANIFEST}")
+    return pages.sparkSession.read.parquet(f"{folder}/{MANIFEST}").agg(F.coalesce(F.sum("records"), F.lit(0)).alias("n")).first()["n"]
 
 
 def read_archives(spark, folder: str) -> DataFrame:  # noqa: ANN001
-    """record_id, url, record_type, payload_bytes, payload_digest, refers_to and (of responses) payload of every record."""
+    """record_id (null for a null id), url, record_type, payload_bytes, payload_digest, refers_to and (of responses) payload of
+    every record of the archives that the folder's manifest lists; without a manifest, of all its archives."""
     from pyspark.errors import AnalysisException
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,14 +211,23 @@ def read_archives(spark, folder: str) -> DataFrame:  # noqa: ANN001
         files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
     except AnalysisException:
         return spark.createDataFrame([], schema)
+    try:
+        listed = spark.read.parquet(f"{folder}/{MANIFEST}").select("archive").distinct()
+        files = files.withColumn("archive", F.element_at(F.split("path", "/"), -1)).join(listed, "archive", "left_semi")
+    except AnalysisException:
+        pass
     return files.select("content").mapInArrow(run, schema)
 
 
-def _named(x: str) -> str:
-    return x.removeprefix("<urn:page:").removesuffix(">")
+def _urn(name: object) -> str:
+    return "<urn:no-page>" if name is None else f"<urn:page:{quote(str(name), safe='')}>"
+
+
+def _named(x: str) -> str | None:
+    return unquote(x.removeprefix("<urn:page:").removesuffix(">")) if x.startswith("<urn:page:") else None
 
 
 def archive_folder(spark) -> str:  # noqa: ANN001
     """A new folder for archives, as a URI in the shared folder."""
     base = shared_dir(spark)
-    return f"{base if '://' in base or base.startswith('file:') else 'file://' + base}/archives-{uuid.uuid4().hex}"
+    return passing(spark, f"{base if '://' in base or base.startswith('file:') else 'file://' + base}/archives-{uuid.uuid4().hex}")
