@@ -116,7 +116,9 @@ def learn(labelled: DataFrame, lang_col: str, text_col: str, seed: Column, per_l
 
 
 def identify(df: DataFrame, text_col: str, profiles: Profiles, lang_as: str = "lang_pred", score_as: str = "score") -> DataFrame:
-    """df with the predicted language and a score. Only the text goes to the predictor beside the columns of df."""
+    """df with the predicted language and a score. Only the text goes to the predictor beside the columns of df; an own
+    column of df that has the name of an added one gives way to it."""
+    own = df.select(*[c for c in df.columns if c not in (lang_as, score_as)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,4 +127,4 @@ def identify(df: DataFrame, text_col: str, profiles: Profiles, lang_as: str = "l
 
     from pyspark.sql.types import DoubleType, StringType, StructType
 
-    return df.mapInArrow(run, StructType([*df.schema.fields]).add(lang_as, StringType()).add(score_as, DoubleType()))
+    return own.mapInArrow(run, StructType([*own.schema.fields]).add(lang_as, StringType()).add(score_as, DoubleType()))
