@@ -13,6 +13,8 @@ import numpy as np
 
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
+#: Bytes that are hashed at a time (or one word), so that a text of any length needs few bytes of memory for each of its own.
+STRETCH = 2 << 20
 
 
 @functools.lru_cache(maxsize=4)
@@ -88,7 +90,13 @@ class Words:
         after &= ~edge[1:]
         self.start = np.flatnonzero(inside & ~before)
         self.end = np.flatnonzero(inside & ~after) + 1
-        self.hash = Rolling(low).ranges(self.start, self.end)
+        self.hash = np.empty(len(self.start), np.uint64)
+        k = 0
+        while k < len(self.start):  # hashes need 8-byte numbers for each byte: a stretch of words at a time
+            base = self.start[k]
+            j = max(k + 1, int(np.searchsorted(self.end, base + STRETCH, "right")))
+            self.hash[k:j] = Rolling(low[base : self.end[j - 1]]).ranges(self.start[k:j] - base, self.end[k:j] - base)
+            k = j
         self.first = np.searchsorted(self.start, offsets)
         self.first[-1] = len(self.start)
 

@@ -6,11 +6,13 @@ sequence with no pair left in the merge table is finished, and the symbols that
 Counts of pre-tokens are remembered between batches of a task; the memory is cleared at a size, never the work.
 
 Null texts are empty and have 0 tokens. Added tokens of the vocabulary file inside a text count as one each, as
-the tokenizer library treats them by default. Repeated rows give repeated results; an empty table gives none.
+the tokenizer library treats them by default. A text of any length is read in parts of LONG pre-tokens. Repeated rows
+give repeated results; an empty table gives none.
 """
 
 from __future__ import annotations
 
+import itertools
 import json
 from collections.abc import Iterator
 
@@ -25,6 +27,10 @@ from .base import pieces
 #: Fixed value: the split pattern of the public byte-level vocabularies.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NEVER = np.int64(1 << 40)
+#: Characters from which on a text's pre-tokens are counted so many at a time.
+LONG = 2 << 20
+#: Most bytes of a vocabulary file that is broadcast.
+LARGEST = 256 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -35,11 +41,13 @@ def byte_letters() -> dict[str, int]:
 
 
 class RankMerger:
-    """Counts tokens of pre-tokens, given a vocabulary file of the tokenizers library."""
+    """Counts tokens of pre-tokens, given a vocabulary file of the tokenizers library (its contents, or its path)."""
 
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+    def __init__(self, file: bytes | str):
+        if isinstance(file, str):
+            with open(file, "rb") as f:
+                file = f.read()
+        spec = json.loads(file)
         vocab, merges = spec["model"]["vocab"], [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         letters = byte_letters()
         self.of_byte = np.zeros(256, np.int64)
@@ -90,8 +98,8 @@ class RankMerger:
 
 
 class Counter:
-    def __init__(self, path: str, remembered: int = 1_000_000):
-        self.merger, self.remembered = RankMerger(path), remembered
+    def __init__(self, file: bytes | str, remembered: int = 1_000_000):
+        self.merger, self.remembered = RankMerger(file), remembered
         self.known: dict[str, int] = {}
 
     def pre_tokens(self, text: str) -> tuple[list[str], int]:
@@ -102,23 +110,48 @@ class Counter:
         parts = added.split(text)
         return [t for part in parts for t in self.merger.split.findall(part)], len(parts) - 1
 
-    def of(self, texts: list[str | None]) -> list[int]:
-        held = [self.pre_tokens(t or "") for t in texts]
+    def learn(self, tokens: set[str]) -> None:
+        """Counts the tokens that aren't remembered."""
         if len(self.known) > self.remembered:
             self.known = {}
-        new = list({t for tokens, _ in held for t in tokens}.difference(self.known))
+        new = list(tokens.difference(self.known))
         for k in range(0, len(new), 200_000):
             part = new[k : k + 200_000]
             self.known.update(zip(part, self.merger.counts([t.encode("utf-8", "surrogatepass") for t in part]).tolist(), strict=True))
+
+    def of_long(self, text: str) -> int:
+        """As of(), with at most LONG pre-tokens of the text in memory."""
+        added = self.merger.added
+        cuts = [m.span() for m in added.finditer(text)] if added is not None else []
+        total = len(cuts)
+        for begin, end in zip([0, *[b for _, b in cuts]], [*[a for a, _ in cuts], len(text)], strict=True):
+            # an added token ends a part, as splitting would: the pattern must not look beyond it
+            found = (m[0] for m in self.merger.split.finditer(text if (begin, end) == (0, len(text)) else text[begin:end]))
+            while tokens := list(itertools.islice(found, LONG)):
+                self.learn(set(tokens))
+                total += sum(map(self.known.__getitem__, tokens))
+        return total
+
+    def of(self, texts: list[str | None]) -> list[int]:
+        if any(t and len(t) > LONG for t in texts):
+            return [self.of_long(t) if t and len(t) > LONG else self.of([t])[0] for t in texts]
+        held = [self.pre_tokens(t or "") for t in texts]
+        self.learn({t for tokens, _ in held for t in tokens})
         get = self.known.__getitem__
         return [sum(map(get, tokens)) + special for tokens, special in held]
 
 
 def token_counts(df: DataFrame, id_col: str, text_col: str, vocabulary: str, limit: int) -> DataFrame:
-    """id, n_bytes, n_tokens and over_limit (n_tokens > limit) of every whole text. vocabulary: path of the file, the same on every machine."""
+    """id, n_bytes, n_tokens and over_limit (n_tokens > limit) of every whole text. vocabulary: path of the file on the
+    driver, whose bytes are broadcast."""
+    with open(vocabulary, "rb") as f:
+        file = f.read(LARGEST + 1)
+    if len(file) > LARGEST:
+        raise ValueError(f"{vocabulary} has over {LARGEST} bytes")
+    shared = df.sparkSession.sparkContext.broadcast(file)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(vocabulary)
+        counter = Counter(shared.value)
         for batch in batches:
             n: list[int] = []
             for part in pieces(batch, "text", 2 << 20):
