@@ -13,6 +13,9 @@ doubling, so a thread of depth d takes log2(d) joins; sorting by (conv_id, reply
 order. Joins are on conversation and passage (or turn), so a conversation of any size is spread over tasks, and only
 passages that are quoted somewhere are compared.
 
+as_replies() writes a table of messages the way mail quotes: each message above the one that it answers, marked one level
+deeper. reply_ordered() takes that apart again.
+
 Null texts are empty. A null conversation or turn links with nothing. Rows that repeat a conversation and turn
 are one message's: they share its reply. An empty table gives no rows.
 """
@@ -90,9 +93,12 @@ def reply_ordered(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
     quotes = units.filter("level > 0").select("conv_id", "turn", "level", "hash", "chars").distinct()
     asked = quotes.select("conv_id", "hash").distinct()
     originals = units.filter("level = 0").join(asked, ["conv_id", "hash"], "left_semi").select("conv_id", "hash", "turn").distinct()
-    both = originals.withColumn("original", F.col("turn")).withColumn("level", F.lit(None).cast("int")).withColumn("chars", F.lit(None).cast("long")).unionByName(quotes.withColumn("original", F.lit(None).cast(kinds[turn_col])))
-    earlier = Window.partitionBy("conv_id", "hash").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
-    linked = both.withColumn("from", F.last("original", ignorenulls=True).over(earlier)).filter(F.col("chars").isNotNull() & F.col("from").isNotNull())
+    # one row for each turn that has or quotes a passage, so that "earlier" is a frame of rows whatever type turns have
+    asks = quotes.groupBy("conv_id", "hash", "turn").agg(F.collect_set(F.struct("level", "chars")).alias("asked"))
+    both = asks.join(originals.withColumn("original", F.col("turn")), ["conv_id", "hash", "turn"], "full_outer")
+    earlier = Window.partitionBy("conv_id", "hash").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    linked = both.withColumn("from", F.last("original", ignorenulls=True).over(earlier)).filter(F.col("asked").isNotNull() & F.col("from").isNotNull())
+    linked = linked.select("conv_id", "turn", "from", F.inline("asked"))
     best = linked.groupBy("conv_id", "turn", "level", "from").agg(F.sum("chars").alias("chars")).groupBy("conv_id", "turn").agg(F.max(F.struct((-F.col("level")).alias("nearest"), "chars", "from"))["from"].alias("reply_to"))
     # path: turns from below `above` (null: from the thread's first message) to the message
     now = durable(best.select("conv_id", "turn", "reply_to", F.col("reply_to").alias("above"), F.array("turn").alias("path")))
@@ -114,3 +120,17 @@ def reply_ordered(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
         (F.size(path) - 1).cast("long").alias("depth"),
         F.array_join(F.transform(path, lambda t: F.lpad(t.cast("string"), 10, "0")), "/").alias("reply_path"),
     )
+
+
+def as_replies(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
+    """Each message with an announcement and, marked line by line, the message of the turn before and (one level deeper) the
+    one before that; a first message, and one whose turn before has no row or several, quotes nothing there."""
+    own = F.coalesce(F.col(text_col), F.lit(""))
+    rows = df.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.col(role_col).alias("role"), own.alias("text"))
+    single = rows.groupBy("conv_id", "turn").agg(F.count("*").alias("n"), F.min("text").alias("text")).filter("n = 1")
+    marked = lambda mark, text: F.when(text != "", F.concat(F.lit("\n" + mark), F.regexp_replace(text, r"\r\n|\r|\n", "\n" + mark)))
+    before = single.select("conv_id", (F.col("turn") + 1).alias("turn"), marked("> ", F.col("text")).alias("one"))
+    deeper = single.select("conv_id", (F.col("turn") + 2).alias("turn"), marked("> > ", F.col("text")).alias("two"))
+    quoted = rows.join(before, ["conv_id", "turn"], "left").join(deeper, ["conv_id", "turn"], "left")
+    text = F.concat("text", F.coalesce(F.concat(F.lit("\nSomeone wrote:"), "one", F.coalesce("two", F.lit(""))), F.lit("")))
+    return quoted.select(F.col("conv_id").alias(conv_col), F.col("turn").alias(turn_col), F.col("role").alias(role_col), text.alias(text_col))
