@@ -18,25 +18,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the cluster names it; a local one only where none is set."""
+    """The folder that driver and executors share, as the cluster names it. Only a local master may do without one."""
     sc = spark.sparkContext
     held = sc._jsc.sc().getCheckpointDir()
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if held.isEmpty():
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="strandline-checkpoint-"))
         held = sc._jsc.sc().getCheckpointDir()
     return named or held.get()
 
 
+def passing(spark: SparkSession, path: str) -> str:
+    """path, whose files go when the driver's JVM ends."""
+    held = spark._jvm.org.apache.hadoop.fs.Path(path)
+    held.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(held)
+    return path
+
+
 def durable(df: DataFrame) -> DataFrame:
     """df, computed once into the shared folder; its lineage ends there, so a lost executor costs one read."""
-    shared_dir(df.sparkSession)
+    passing(df.sparkSession, shared_dir(df.sparkSession) and df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().get())
     return df.checkpoint(eager=True)
 
 
 def stored(df: DataFrame) -> DataFrame:
     """As durable(), as compressed Parquet with only the needed columns read back: for wider intermediate tables."""
-    path = f"{shared_dir(df.sparkSession)}/strandline-{uuid.uuid4().hex}"
+    path = passing(df.sparkSession, f"{shared_dir(df.sparkSession)}/strandline-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
