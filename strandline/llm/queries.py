@@ -34,8 +34,7 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, folder = table(spark, sf_dir, "pages"), warc.archive_folder(spark)
     warc.write_archives(pages, folder, "page_id", "url", "html", least=0)
     kind = pages.schema["page_id"].dataType.simpleString()
-    number = lambda c: F.when(F.col(c) != "None", F.col(c)).cast(kind)
-    return warc.read_archives(spark, folder).select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
+    return warc.read_archives(spark, folder).select(F.col("record_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
 
 
 def held_out() -> F.Column:
@@ -61,7 +60,9 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quotations.reply_ordered(table(spark, sf_dir, "conversations"))
+    """The table holds no quotation, so its messages are first written as mail that quotes the two before; the operator
+    takes that apart: texts come back without quotes, and replies from the quotes alone."""
+    return quotations.reply_ordered(quotations.as_replies(table(spark, sf_dir, "conversations"))).withColumn("reply_to", F.col("reply_to").cast("string"))
 
 
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,21 +96,22 @@ _REACH = "u AS (SELECT a, b FROM l UNION SELECT b, a FROM l), r(a, b) AS (SELECT
 
 ORACLE_SQL: dict[str, str] = {
     "op1_mixing": """
-        WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
+        WITH d AS (SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size FROM documents),
         s AS (SELECT *, [5.0::DOUBLE, 2, 1][(rank - 1) % 3 + 1] AS w FROM (SELECT source, sum(size)::BIGINT AS n, row_number() OVER (ORDER BY source NULLS LAST) AS rank FROM d GROUP BY source)),
         o AS (SELECT *, row_number() OVER (ORDER BY n / w, rank) AS k FROM s),
         v AS (SELECT *, 3.0::DOUBLE * n AS lim, (sum(n) OVER () - coalesce(sum(3 * n) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE / sum(w) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev FROM o),
         t AS (SELECT source, n, rank, coalesce(least(lim, w * (SELECT arg_min(lev, k) FROM v WHERE lev <= lim / w)), 0) AS target FROM v),
-        -- seats one by one: the highest quotients of target / (2 k - 1)
-        q AS (SELECT *, round(sum(target) OVER () / 16)::BIGINT AS seats FROM t),
-        b AS (SELECT source, count(*) FILTER (place <= seats) AS blocks FROM (SELECT source, seats, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, source NULLS LAST) AS place FROM q, LATERAL (SELECT unnest(range(1, seats + 1)) AS k) WHERE target > 0 AND k <= target / 16 + 20) GROUP BY source),
-        p AS (SELECT d.*, t.n AS source_size, t.target, ('0x' || substr(md5('1:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT % greatest(ceil(t.n / 262144)::BIGINT, 1) AS shard,
-              ('0x' || substr(md5('2:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT AS place FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
-        -- one shard a source at this size: all its blocks are the shard's
-        h AS (SELECT source, shard, z, least(coalesce(blocks, 0), 3 * there) AS quota, there FROM (SELECT p.source, shard, sum(size)::BIGINT AS z, ceil(sum(size) / 16)::BIGINT AS there FROM p GROUP BY ALL) x LEFT JOIN b USING (source)),
-        g AS (SELECT *, quota // greatest(there, 1) AS rounds, quota % greatest(there, 1) AS arc, CASE WHEN there > 0 THEN ('0x' || substr(md5('3:' || coalesce(source, 'null') || ':' || shard), 1, 8))::BIGINT % there ELSE 0 END AS f FROM h),
-        y AS (SELECT p.*, z, rounds, arc, f, there, sum(size) OVER (PARTITION BY p.source, p.shard ORDER BY place, doc_id NULLS LAST, size) AS e FROM p JOIN g ON p.source IS NOT DISTINCT FROM g.source AND p.shard = g.shard)
-        SELECT doc_id, size, source_size, target, (rounds * size + greatest(least(e, (f + arc) * 16, z) - greatest(e - size, f * 16), 0) + greatest(least(e, greatest(f + arc - there, 0) * 16, z) - (e - size), 0))::BIGINT AS taken FROM y""",
+        -- seats of one word, one by one: to sources by the highest quotients of target / (2 k - 1), then to each source's shards by their sizes
+        q AS (SELECT *, round(sum(target) OVER ())::BIGINT AS seats FROM t),
+        b AS (SELECT source, count(*) FILTER (place <= seats) AS blocks FROM (SELECT source, seats, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, source NULLS LAST) AS place FROM q, LATERAL (SELECT unnest(range(1, seats + 1)) AS k) WHERE target > 0 AND k <= target + 20) GROUP BY source),
+        p AS (SELECT d.*, t.n AS source_size, t.target, ('0x' || substr(md5('1:' || coalesce(doc_id::VARCHAR, md5(text), 'null')), 1, 8))::BIGINT % greatest(ceil(t.n / 262144)::BIGINT, 1) AS shard,
+              ('0x' || substr(md5('2:' || coalesce(doc_id::VARCHAR, md5(text), 'null')), 1, 8))::BIGINT AS place FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+        z AS (SELECT x.*, coalesce(blocks, 0) AS blocks, sum(z) OVER (PARTITION BY x.source) AS every FROM (SELECT source, shard, sum(size)::BIGINT AS z FROM p GROUP BY ALL) x LEFT JOIN b ON x.source IS NOT DISTINCT FROM b.source),
+        h AS (SELECT source, shard, z, least(count(*) FILTER (place <= blocks), 3 * z) AS quota FROM (SELECT z.*, k, row_number() OVER (PARTITION BY source ORDER BY CASE WHEN k IS NULL THEN -1 ELSE z / (2 * k - 1) END DESC, shard) AS place
+              FROM z LEFT JOIN LATERAL (SELECT unnest(range(1, blocks + 1)) AS k) ON z > 0 AND k <= blocks * (z / every) + 20) WHERE k IS NOT NULL OR z = 0 GROUP BY source, shard, z),
+        g AS (SELECT *, CASE WHEN z > 0 THEN quota // z ELSE 0 END AS rounds, CASE WHEN z > 0 THEN quota % z ELSE 0 END AS arc, CASE WHEN z > 0 THEN ('0x' || substr(md5('3:' || coalesce(source, 'null') || ':' || shard), 1, 8))::BIGINT % z ELSE 0 END AS f FROM h),
+        y AS (SELECT p.*, z, rounds, arc, f, sum(size) OVER (PARTITION BY p.source, p.shard ORDER BY place, doc_id NULLS LAST, size) AS e FROM p JOIN g ON p.source IS NOT DISTINCT FROM g.source AND p.shard = g.shard)
+        SELECT doc_id, size, source_size, target, (rounds * size + greatest(least(e, f + arc, z) - greatest(e - size, f), 0) + greatest(least(e, greatest(f + arc - z, 0)) - (e - size), 0))::BIGINT AS taken FROM y""",
     "op2_ngram_join": f"""
         WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
         g AS (SELECT doc_id, unnest(CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
@@ -131,6 +133,14 @@ ORACLE_SQL: dict[str, str] = {
         l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id < y.vec_id WHERE list_cosine_similarity(x.e, y.e) >= 0.9), {_REACH},
         n AS (SELECT a, count(*) AS n FROM u GROUP BY a)
         SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(m, vec_id)) AS component_id, least(vec_id, coalesce(m, vec_id)) = vec_id AS kept FROM embeddings LEFT JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id""",
+    # turns of a conversation are unique here, and no text has quote marks of its own
+    "op8_quotation_linking": """
+        WITH m AS (SELECT *, regexp_replace(coalesce(text, ''), '^\\s+|\\s+$', '', 'g') AS own, CASE WHEN coalesce(text, '') = '' THEN 0 ELSE len(regexp_split_to_array(text, '\r\n|\r|\n')) END AS lines FROM conversations),
+        q AS (SELECT a.conv_id, a.turn, a.role, a.own, CASE WHEN coalesce(b.lines, 0) > 0 THEN b.lines + coalesce(c.lines, 0) ELSE 0 END AS n_quoted, CASE WHEN b.own <> '' THEN b.turn END AS reply_to
+              FROM m a LEFT JOIN m b ON b.conv_id = a.conv_id AND b.turn = a.turn - 1 LEFT JOIN m c ON c.conv_id = a.conv_id AND c.turn = a.turn - 2),
+        t AS (SELECT *, max(CASE WHEN reply_to IS NULL THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn) AS thread_turn FROM q)
+        SELECT conv_id, turn, role, own AS text, n_quoted::BIGINT AS n_quoted, reply_to::VARCHAR AS reply_to, thread_turn, turn - thread_turn AS depth,
+               array_to_string(list_transform(range(thread_turn, turn + 1), lambda i: lpad(i::VARCHAR, 10, '0')), '/') AS reply_path FROM t""",
     "op5_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
         d AS (SELECT page_id, h, unhex(sha1(h))::BIT::VARCHAR AS bits FROM p),

@@ -310,7 +310,7 @@ def test_warc_round_trip(spark, tmp_path):
     want = collections.Counter()
     for i, _, h in pages:
         f = first[h or ""]
-        want[str(i), len((h or "").encode()), warc.base32_sha1((h or "").encode()), "response" if i == f else "revisit", None if i == f else str(f)] += 1
+        want[None if i is None else str(i), len((h or "").encode()), warc.base32_sha1((h or "").encode()), "response" if i == f else "revisit", None if i == f else str(f)] += 1
     assert got == want
     payloads = {r["record_id"]: bytes(r["payload"]).decode() for r in warc.read_archives(spark, folder).filter("record_type = 'response'").collect()}
     assert payloads["1"] == body[1]
