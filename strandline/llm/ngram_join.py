@@ -1,38 +1,42 @@
 """N-gram Jaccard self-join of documents by a prefix tree.
 
-Sets of word n-grams (64-bit hashes) are stored in global (hash) order in a compressed trie; a probe walks the
-trie level by level, adds the overlap of an edge once for all sets below it, and prunes a subtree when its overlap
-so far plus what can still match (the shorter of both remainders) misses the least overlap that any set below
-needs. So far the method; around it:
+Sets of word n-grams (64-bit hashes), their members in one order for all (the most frequent first, so that alike sets share
+long beginnings), are stored in a compressed trie. A probe walks the trie level by level, adds the overlap of an edge
+once for all sets below it, and prunes a subtree when its overlap so far plus what can still match (the shorter of both
+remainders) misses the least overlap that any set below needs. So far the method; around it:
 
-- Equal sets are one class (128-bit fingerprint of the set), and only the class's smallest id goes on.
+- Equal sets are one class (128-bit fingerprint of the set), and one document of each class goes on.
 - Blocks for the tries come from exact signatures, not from frequent n-grams. Sets with Jaccard >= t and sizes up to
   s differ in at most d = (1-t)/(1+t)*2s members, so if members are dealt by hash into d+1 parts, one part
   agrees as a whole. Each document emits one signature for each part (0.2 n of them at 0.9, for its own band of
   sizes and the next one if a partner can be there). An empty part, which would agree with too many, is replaced by
   its neighbour part with up to one member left out; by the same counting no pair is lost.
-- Signatures travel in packed arrays, one row for each bucket of a task. A signature that several classes of a
-  task have is settled there: its classes are linked to the smallest of them, and only that one goes on; so however many
-  documents share one, few entries of it travel. A bucket sorts its signatures and links equal ones likewise.
-- With `sketched` (by default for similarities below 0.9, whose parts are small enough to lie within a passage that
-  many documents share) a bucket names the members of each shared signature instead, and these meet again with
-  their parity sketches: each member flips one of about n bits, so the bits in which two sketches differ never exceed
-  the symmetric difference, and pairs that differ in too many are no candidates. It prunes, and loses no pair.
-- The components of these candidate links are blocks, and every block's sets travel once, to its own trie.
-- Within a block a union-find keeps components; documents outside the largest one are probed, the most central
-  first, until all that were not probed are in the one that is the largest then, so every link has a probed end or
-  both ends in it. A family of copies with edits around one original ends after few probes.
+- Signatures travel in packed arrays, one row for each bucket of a task. With `sketched` (the default), a bucket names
+  the members of each shared signature, and these meet again with their parity sketches: each member flips one of about n
+  bits, so the bits in which two sketches differ never exceed the symmetric difference, and pairs that differ in too many
+  are no candidates. It prunes (variants of a template that are all just too different fall apart), and loses no pair. Of
+  a signature with over MANY members all are candidates of one another, as a star, without any comparison.
+- Without `sketched`, a signature that several classes of a task have is settled there: its classes are linked to the
+  smallest of them, and only that one goes on. A bucket sorts its signatures and links equal ones likewise.
+- The components of these candidate links are blocks, and every block's sets travel to tries.
+- Within a block of at most BLOCK sets a union-find keeps components; documents outside the largest one are probed, the
+  most central first, until all that were not probed are in the one that is the largest then, so every link has a probed
+  end or both ends in it. A family of copies with edits around one original ends after few probes.
+- A larger block is dealt to shards of about BLOCK sets, one trie and task each. Its sets are first compared with a few
+  of them (HUBS); those that these don't join with the largest component are the probes, and each probe visits every
+  shard of its block. Again every link has a probed end or both ends in one component.
 
 No pair with enough similarity is missed; two unequal n-grams share a hash with odds of 2**-64 a pair.
-A block is one task's: it holds the distinct texts of one near-copy family (copies of a text are one).
 
 Words are [^\\x20\\x09-\\x0D]+ after lower-casing A-Z. With fewer words than n the whole sequence is the one
-n-gram; a null or wordless text has an empty set and links with nothing. A null id can't name a class, so such a
-row links with nothing and its component is null. Rows that repeat an id are the same vertex.
+n-gram; a null or wordless text has an empty set and links with nothing. Ids may have any type with an order. A null id
+can't name a class, so such a row links with nothing and its class and component are null. Rows that repeat an id are the
+same vertex, with the links of all their texts.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -111,11 +115,14 @@ def signatures(members: np.ndarray, bands: Bands) -> np.ndarray:
 
 
 class Trie:
-    """A compressed prefix tree of ascending sets, in arrays; rows of the tree are in lexicographic order."""
+    """A compressed prefix tree of sets, in arrays; members are named by their place in the order (the most frequent is 0),
+    and rows of the tree are in lexicographic order."""
 
     def __init__(self, sets: list[np.ndarray]):
-        self.members = np.unique(np.concatenate(sets))
-        local = [np.searchsorted(self.members, s) for s in sets]
+        self.members, counts = np.unique(np.concatenate(sets), return_counts=True)
+        self.place = np.empty(len(counts), np.int64)
+        self.place[np.argsort(-counts, kind="stable")] = np.arange(len(counts))
+        local = [np.sort(self.place[np.searchsorted(self.members, s)]) for s in sets]
         keys = [x.astype(">u4").tobytes() for x in local]
         self.order = sorted(range(len(sets)), key=keys.__getitem__)
         rows = [local[k] for k in self.order]
@@ -162,10 +169,18 @@ class Trie:
 
     def similar(self, r: int, percent: int) -> np.ndarray:
         """Rows whose sets have Jaccard similarity >= percent / 100 with row r (itself included)."""
-        own = self.rows[r]
+        return self._walk(self.rows[r], len(self.rows[r]), percent)
+
+    def near(self, members: np.ndarray, percent: int) -> np.ndarray:
+        """As similar(), for any set."""
+        at = np.minimum(np.searchsorted(self.members, members), len(self.members) - 1)
+        return self._walk(np.sort(self.place[at[self.members[at] == members]]), len(members), percent)
+
+    def _walk(self, own: np.ndarray, n: int, percent: int) -> np.ndarray:
+        """own: those of n members that the tree knows, in its order."""
         mask = np.zeros(len(self.members) + 1, bool)
         mask[own] = True
-        n, found = len(own), []
+        found = []
         node, which = self.below(np.zeros(1, np.int64))
         overlap, last = np.zeros(1, np.int64), np.full(1, -1)
         while len(node):
@@ -174,7 +189,7 @@ class Trie:
             hit = mask[self.flat[begin[which_token] + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)]]
             overlap = overlap[which] + np.bincount(which_token[hit], minlength=len(node))
             last = np.where(size > 0, self.flat[np.maximum(self.stop[node] - 1, 0)], last[which])
-            remaining = np.minimum(n - np.searchsorted(own, last, "right"), self.longest[node] - self.depth[node])
+            remaining = np.minimum(len(own) - np.searchsorted(own, last, "right"), self.longest[node] - self.depth[node])
             other = np.maximum(self.shortest[node], -(-percent * n // 100))
             alive = (100 * self.longest[node] >= percent * n) & (percent * self.shortest[node] <= 100 * n)
             alive &= (100 + percent) * (overlap + remaining) >= percent * (n + other)
@@ -187,26 +202,36 @@ class Trie:
         return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
-def block_components(ids: list[int], sets: list[np.ndarray], percent: int) -> list[int]:
+def block_components(ids: list, sets: list[np.ndarray], percent: int) -> list:
     """For each id the smallest id of its component of links within the block."""
     trie = Trie(sets)
-    vertex, of = np.unique(np.array(ids), return_inverse=True)
-    of = of[trie.order]
+    vertex = sorted(set(ids))
+    place = {x: k for k, x in enumerate(vertex)}
+    of = np.array([place[x] for x in ids])[trie.order]
     label = np.arange(len(vertex))
+    held = [[k] for k in range(len(vertex))]
     frequency = np.bincount(trie.flat, minlength=len(trie.members))
     central = np.add.reduceat(frequency[trie.flat], trie.offset[:-1]) / np.maximum(np.diff(trie.offset), 1)
-    order = np.argsort(-central, kind="stable")
-    probed, waiting = np.zeros(len(order), bool), order
-    while len(waiting):
-        r = int(waiting[0])
-        probed[r] = True
-        linked = np.unique(label[of[trie.similar(r, percent)]])
-        if len(linked) > 1:
-            label[np.isin(label, linked)] = linked[0]
-        kinds, sizes = np.unique(label, return_counts=True)
-        # anew from all rows: once another component is the largest, members of the former one count again
-        waiting = order[~probed[order] & (label[of[order]] != kinds[np.argmax(sizes)])]
-    return vertex[label[np.searchsorted(vertex, np.array(ids))]].tolist()
+    waiting, left, largest = np.argsort(-central, kind="stable").tolist()[::-1], [], 0
+    while waiting:
+        r = waiting.pop()
+        if label[of[r]] == largest:
+            left.append(r)
+            continue
+        kinds = np.unique(label[of[trie.similar(r, percent)]]).tolist()
+        into = max(kinds, key=lambda k: len(held[k]))
+        for k in kinds:
+            if k != into:
+                label[held[k]] = into
+                held[into] += held[k]
+                held[k] = []
+        if largest in kinds:
+            largest = into
+        elif len(held[into]) > len(held[largest]):  # what the former largest spared is to be probed after all
+            waiting += left
+            largest, left = into, []
+    least = [min(h, default=None) for h in held]
+    return [vertex[least[label[place[x]]]] for x in ids]
 
 
 def linked(signs: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -282,6 +307,7 @@ def _pruned(percent: int):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, ...]] = set()
         edges: set[tuple[int, int]] = set()
+        hub: int | None = None
 
         def settle(rows: list[tuple]) -> None:
             rows = sorted({r[0]: r for r in rows}.values())
@@ -291,7 +317,7 @@ def _pruned(percent: int):  # noqa: ANN202
                 edges.update(compatible(np.array(key), np.array([r[1] for r in rows]), [r[2] for r in rows], percent))
 
         def flush() -> pa.RecordBatch:
-            found = sorted(edges)
+            found = sorted(e for e in edges if e[0] != e[1])
             edges.clear()
             if len(seen) > 100_000:
                 seen.clear()
@@ -300,11 +326,19 @@ def _pruned(percent: int):  # noqa: ANN202
         now, rows = None, []
         for batch in batches:
             for sign, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if sign != now and rows:
-                    settle(rows)
-                    rows = []
+                if sign != now:
+                    if rows:
+                        settle(rows)
+                    rows, hub = [], None
                 now = sign
+                if hub is not None:
+                    edges.add((max(hub, row[0]), min(hub, row[0])))
+                    continue
                 rows.append(tuple(row))
+                if len(rows) >= MANY:
+                    hub = rows[0][0]
+                    edges.update((max(hub, r[0]), min(hub, r[0])) for r in rows[1:])
+                    rows = []
             yield flush()
         if rows:
             settle(rows)
@@ -321,6 +355,10 @@ def fingerprints(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return _signed(one), _signed(two)
 
 
+#: Members of a signature that are compared with one another; of more, all are candidates.
+MANY = 1 << 13
+#: Sets of a block that one task holds, and sets that all those of a larger block are compared with first.
+BLOCK, HUBS = 1 << 13, 4
 #: Signatures that a task gathers before it deals them to buckets.
 GATHERED = 1 << 20
 
@@ -393,11 +431,90 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
 
-def ngram_join(df: DataFrame, id_col: str, text_col: str, n: int = 3, percent: int = 90, sketched: bool | None = None) -> DataFrame:
-    """id (an integer), n_shingles, class_id (smallest id with an equal set) and component_id of every row."""
-    bands, kind = Bands(percent), "long"
-    sketched = percent < 90 if sketched is None else sketched
-    docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+def _by_key(keys: int, settle):  # noqa: ANN001, ANN202
+    """Batches in order of their first `keys` columns -> what settle() yields for the rows of each key (an iterator it may stop early)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+        for _, group in itertools.groupby(rows, key=lambda r: r[:keys]):
+            yield from settle(group)
+
+    return run
+
+
+def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], ["a", "b"])
+
+
+def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
+def links_of_blocks(blocked: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect what is connected, of blocked (component, f1, members). sizes: component, sets."""
+    read = lambda m: np.frombuffer(m, np.uint64)
+
+    def whole(group: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        held = {f1: read(m) for _, f1, m in group}
+        if len(held) > 1:
+            found = block_components(list(held), list(held.values()), percent)
+            yield _links([(a, b) for a, b in zip(held, found, strict=True) if a != b])
+
+    small = blocked.join(sizes.filter(F.col("sets") <= BLOCK).select("component"), "component", "left_semi")
+    links = small.repartition("component").sortWithinPartitions("component", "f1").mapInArrow(_by_key(1, whole), "a long, b long")
+    large = sizes.filter(F.col("sets") > BLOCK)
+    if large.isEmpty():
+        return links
+
+    # every set of a large block against a few of them
+    held = stored(blocked.join(large, "component").dropDuplicates(["component", "f1"]))
+    drawn = held.groupBy("component").agg(*[F.min_by(F.struct("f1", "members"), F.xxhash64(F.lit(k), "f1")).alias(f"h{k}") for k in range(HUBS)])
+
+    def hubs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for f1, members, *some in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                own = read(members)
+                out += [(f1, h["f1"]) for h in some if h["f1"] != f1 and _similar(own, read(h["members"]), percent)]
+            yield _links(out)
+
+    near = stored(held.join(stored(drawn), "component").select("f1", "members", *[f"h{k}" for k in range(HUBS)]).mapInArrow(hubs, "a long, b long"))
+    label = connected_components(near).select(F.col("node").alias("f1"), F.col("component").alias("label"))
+    told = stored(held.select("component", "f1").join(label, "f1", "left").withColumn("label", F.coalesce("label", "f1")))
+    largest = told.groupBy("component", "label").agg(F.count("*").alias("n")).groupBy("component").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
+    probes = told.join(largest, "component").filter("label <> main").select("f1")
+
+    # the others against every shard of their block
+    shards = F.ceil(F.col("sets") / BLOCK).cast("long")
+    natives = held.select("component", F.pmod(F.xxhash64("f1"), shards).alias("shard"), F.lit(False).alias("probe"), "f1", "members")
+    visits = held.join(probes, "f1", "left_semi").select("component", F.explode(F.sequence(F.lit(0).cast("long"), shards - 1)).alias("shard"), F.lit(True).alias("probe"), "f1", "members")
+
+    def shard(group: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        own: dict[int, np.ndarray] = {}
+        trie, names, out = None, [], []
+        for _, _, probe, f1, members in group:
+            if not probe:
+                own[f1] = read(members)
+                continue
+            if trie is None and own:
+                trie = Trie(list(own.values()))
+                names = np.array(list(own))[trie.order]
+            if trie is not None:
+                out += [(f1, other) for other in names[trie.near(read(members), percent)].tolist() if other != f1]
+            if len(out) > 100_000:
+                yield _links(out)
+                out = []
+        yield _links(out)
+
+    met = natives.union(visits).repartition("component", "shard").sortWithinPartitions("component", "shard", "probe", "f1").mapInArrow(_by_key(2, shard), "a long, b long")
+    return links.union(near).union(met)
+
+
+def ngram_join(df: DataFrame, id_col: str, text_col: str, n: int = 3, percent: int = 90, sketched: bool = True) -> DataFrame:
+    """id, n_shingles, class_id (smallest id with an equal set) and component_id of every row."""
+    bands, kind = Bands(percent), df.schema[id_col].dataType.simpleString()
+    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -411,43 +528,36 @@ def ngram_join(df: DataFrame, id_col: str, text_col: str, n: int = 3, percent: i
 
     scanned = stored(docs.mapInArrow(sets, f"id {kind}, n_shingles long, f1 long, f2 long, sketch binary"))
     named = scanned.filter("n_shingles > 0 and id is not null")
-    classes = named.groupBy("f1", "f2", "n_shingles").agg(F.min("id").alias("class_id"))
+    classes = stored(named.groupBy("f1", "f2", "n_shingles").agg(F.min("id").alias("class_id"), F.min("sketch").alias("sketch")))
     buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = docs.filter("id is not null").select("text").mapInArrow(_packed(n, bands, buckets, sketched), "bucket int, signs binary, ids binary, hubs binary")
     packed = packed.repartition("bucket").sortWithinPartitions("bucket")
     if sketched:
-        about = named.groupBy("f1").agg(F.min("n_shingles").alias("n_shingles"), F.min("sketch").alias("sketch"))
-        members = packed.mapInArrow(_grouped, "f1 long, sign long").join(about, "f1").select("sign", "f1", "n_shingles", "sketch")
+        members = packed.mapInArrow(_grouped, "f1 long, sign long").join(classes, "f1").select("sign", "f1", "n_shingles", "sketch")
         candidates = members.repartition("sign").sortWithinPartitions("sign").mapInArrow(_pruned(percent), "a long, b long")
     else:
         candidates = packed.mapInArrow(_matched, "a long, b long")
-    blocks = connected_components(candidates).join(classes.select(F.col("f1").alias("node"), F.col("class_id").alias("id")), "node").select("component", "id")
+    blocks = stored(connected_components(candidates).join(classes.select(F.col("f1").alias("node"), F.col("class_id").alias("id")), "node").select("component", "id", F.col("node").alias("f1")))
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
-                held = [s.tobytes() for s in shingle_sets(part.column(2), n)]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(held, pa.binary())], ["component", "id", "members"])
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def answer(ids: list[int], held: list[np.ndarray]) -> pa.RecordBatch:
-            found = block_components(ids, held, percent) if len(ids) > 1 else ids
-            return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(found)], ["class_id", "component_id"])
-
-        block, ids, held = None, [], []
-        for batch in batches:
-            for b, i, m in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if b != block and ids:
-                    yield answer(ids, held)
-                    ids, held = [], []
-                block = b
-                ids.append(i)
-                held.append(np.frombuffer(m, np.uint64))
-        if ids:
-            yield answer(ids, held)
-
-    blocked = docs.join(blocks, "id").select("component", "id", "text").mapInArrow(again, f"component long, id {kind}, members binary")
-    joined = blocked.repartition("component").sortWithinPartitions("component", "id").mapInArrow(join, f"class_id {kind}, component_id {kind}")
-    joined = joined.groupBy("class_id").agg(F.min("component_id").alias("component_id"))
-    rows = scanned.drop("sketch").join(classes, ["f1", "f2", "n_shingles"], "left").join(joined, "class_id", "left")
-    return rows.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("component_id", "class_id", "id").alias("component_id"))
+                found = shingle_sets(part.column(2), n)
+                own = np.flatnonzero(fingerprints(found)[0] == part.column(1).to_numpy())  # an id may have other texts too
+                yield pa.RecordBatch.from_arrays([c.take(pa.array(own)) for c in part.columns[:2]] + [pa.array([found[k].tobytes() for k in own], pa.binary())], ["component", "f1", "members"])
+
+    blocked = docs.join(blocks, "id").select("component", "f1", "text").mapInArrow(again, "component long, f1 long, members binary")
+    links = links_of_blocks(blocked, stored(blocks.groupBy("component").agg(F.count("*").alias("sets"))), percent)
+
+    # texts of one id are one vertex
+    ids = stored(scanned.filter("id is not null").groupBy("id").agg(F.min(F.when(F.col("n_shingles") > 0, F.col("f1"))).alias("least"), F.max(F.when(F.col("n_shingles") > 0, F.col("f1"))).alias("most"), F.min("n_shingles").alias("fewest")).filter("least <> most or least is not null and fewest = 0"))
+    same = named.join(ids.filter("least <> most"), "id").select(F.col("f1").alias("a"), F.col("least").alias("b"))
+    found = connected_components(links.union(same)).join(classes.select(F.col("f1").alias("node"), "class_id"), "node")
+    least = found.groupBy("component").agg(F.min("class_id").alias("component_id"))
+    of = stored(found.join(least, "component").select(F.col("node").alias("f1"), "component_id"))
+    told = stored(classes.drop("sketch").join(of, "f1", "left").select("f1", "f2", "n_shingles", "class_id", F.coalesce("component_id", "class_id").alias("component_id")))
+    wordless = ids.filter("fewest = 0").select("id", F.col("least").alias("f1")).join(told.groupBy("f1").agg(F.min("component_id").alias("of_id")), "f1").select("id", "of_id")
+    rows = scanned.drop("sketch").join(told, ["f1", "f2", "n_shingles"], "left").join(wordless, "id", "left")
+    known = F.col("id").isNotNull()
+    component = F.coalesce("component_id", F.when(F.col("n_shingles") == 0, F.col("of_id")), "id")
+    return rows.select(F.col("id").alias(id_col), "n_shingles", F.when(known, F.coalesce("class_id", "id")).alias("class_id"), F.when(known, component).alias("component_id"))
