@@ -13,15 +13,19 @@ A byte goes if a string of `width` bytes that covers it also starts elsewhere, i
    follow from prefix[i] >= prefix[i-1] - 1). Owned windows in a run of common prefixes >= width are repeated.
    An owner with more contexts than one shard holds is cut into several; their sorted windows are merged by binary
    search, each shard's against those of the others.
+   An owner with over HOT bytes of contexts (a phrase that very many texts share) is no task's: its windows are owned
+   anew, by another hash, and equal windows meet again under the pair of owners. That is repeated, and each round parts
+   windows by what surrounds the phrase; contexts that are alone with their owners then end there.
 4. Ranges are gathered for each distinct text, merged, and cut out.
 
-Work is per distinct text: copies of a text of at least `width` bytes are removed whole, with no text moved.
+A text of over SEGMENT bytes is read in segments that overlap by a window. Work is per distinct text: copies of a text of at least `width` bytes are removed whole, with no text moved.
 Null texts are empty. Texts shorter than width keep every byte. Rows that repeat an id are separate documents
 (each repeats the other's text). An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -37,6 +41,10 @@ from .textscan import Rolling, mix
 GRAM = 32
 #: Bytes of contexts in one suffix array.
 SHARD = 1 << 20
+#: Bytes of one owner's contexts from which on it is split, and rounds of that at most.
+HOT, ROUNDS = 4 << 20, 6
+#: Bytes of a text whose windows are owned at a time.
+SEGMENT = 2 << 20
 #: 0xFF and 0xFE never occur in UTF-8.
 END = 0xFF
 
@@ -109,8 +117,10 @@ def common_prefixes(data: np.ndarray, order: np.ndarray) -> np.ndarray:
     return prefix[order]
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
-    """Contexts of texts that lie end to end: text number, first and last window, hash of the owner, hash of the bytes."""
+def anchors(data: np.ndarray, offsets: np.ndarray, width: int, salt: int = 0) -> tuple[np.ndarray, ...]:
+    """Contexts of texts that lie end to end: text number, first and last window, hash of the owner, hash of the bytes.
+
+    salt: owners by another hash."""
     n, wide = len(data), width - GRAM + 1
     none = np.zeros(0, np.int64)
     if n < width:
@@ -118,6 +128,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarr
     rolling = Rolling(data)
     gram = rolling.grams(GRAM) if n > GRAM else rolling.ranges(np.zeros(1, np.int64), np.full(1, GRAM))
     gram = np.append(gram, rolling.ranges(np.array([n - GRAM]), np.array([n])))[: n - GRAM + 1]
+    if salt:
+        gram = mix(gram ^ mix(np.array([salt], np.uint64)))
     bits = np.uint64(max(24, int(n).bit_length()))
     low = (np.uint64(1) << bits) - np.uint64(1)
     key = gram & ~low | np.arange(len(gram), dtype=np.uint64)
@@ -197,16 +209,60 @@ def _anchor_rows(width: int):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
-                text, lo, hi, owner, content = anchors(*utf8(part.column(2)), width)
-                where = pa.array(text)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(where), part.column(1).take(where), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32)), pa.array(owner.view(np.int64)), pa.array(content.view(np.int64))],
-                    ["k1", "k2", "lo", "hi", "owner", "content"],
-                )
+                data, offsets = utf8(part.column(2))
+                long = len(part) == 1 and len(data) > SEGMENT
+                for begin in range(0, len(data) - width + 1, SEGMENT) if long else (0,):
+                    segment = data[begin : begin + SEGMENT + width - 1] if long else data
+                    text, lo, hi, owner, content = anchors(segment, np.array([0, len(segment)]) if long else offsets, width)
+                    where = pa.array(text)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0).take(where), part.column(1).take(where), pa.array((lo + begin).astype(np.int32)), pa.array((hi + begin).astype(np.int32)), pa.array(owner.view(np.int64)), pa.array(content.view(np.int64))],
+                        ["k1", "k2", "lo", "hi", "owner", "content"],
+                    )
 
     return run
 
 
+#: Columns of contexts that are cut out.
+CUT = "owner long, content long, k1 long, k2 long, lo int, n long, windows int, bytes binary"
+
+
+def _owned_again(width: int, salt: int):  # noqa: ANN202
+    """Contexts (CUT) -> contexts of their windows by a second owner; the owner is the pair of both."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "bytes"):
+                data, offsets = utf8(part.column(7))
+                context, lo, hi, owner, content = anchors(data, offsets, width, salt)
+                old = part.column(0).to_numpy().view(np.uint64)[context]
+                where, raw, begin = pa.array(context), data.tobytes(), offsets[context]
+                held = [raw[a:b] for a, b in zip((begin + lo).tolist(), (begin + hi + width).tolist(), strict=True)]
+                columns = [
+                    pa.array(mix(old ^ mix(owner)).view(np.int64)), pa.array(content.view(np.int64)), part.column(2).take(where), part.column(3).take(where),
+                    pa.array((part.column(4).to_numpy()[context] + lo).astype(np.int32)), part.column(5).take(where), pa.array((hi - lo + 1).astype(np.int32)), pa.array(held, pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["owner", "content", "k1", "k2", "lo", "n", "windows", "bytes"])
+
+    return run
+
+
+def split_hot(cut: DataFrame, hot: DataFrame, width: int) -> DataFrame:
+    """cut, with the contexts of hot owners (column owner) owned anew until an owner has at most HOT bytes."""
+    done, part = [cut.join(hot, "owner", "left_anti")], cut.join(hot, "owner", "left_semi").dropDuplicates(["owner", "k1", "k2", "lo"])
+    for salt in range(1, ROUNDS + 1):
+        part = stored(part.mapInArrow(_owned_again(width, salt), CUT))
+        sizes = stored(part.groupBy("owner").agg(F.count("*").alias("contexts"), F.sum(F.length("bytes")).alias("size")).filter("contexts > 1"))
+        done.append(part.join(sizes.filter(F.col("size") <= HOT).select("owner"), "owner", "left_semi"))
+        still = sizes.filter(F.col("size") > HOT).select("owner")
+        if still.isEmpty():
+            break
+        part = part.join(still, "owner", "left_semi")
+    else:
+        done.append(part)
+    return functools.reduce(DataFrame.union, done)
+
+
 def _shard_rows(width: int):  # noqa: ANN202
     """Batches sorted by owner -> ranges of repeated windows of the contexts that occur once."""
 
@@ -247,8 +303,8 @@ def _shard_rows(width: int):  # noqa: ANN202
                         yield from settle(groups)
                         groups, size = [], 0
                     groups.append([])
-                if r[1] not in seen:  # rows that repeat an id bring a context twice
-                    seen.add(r[1])
+                if r[2:5] not in seen:  # rows that repeat an id bring a context twice
+                    seen.add(r[2:5])
                     groups[-1].append(r)
                     size += len(r[7])
         if groups:
@@ -261,8 +317,9 @@ def repeated_ranges(keyed: DataFrame, width: int) -> DataFrame:
     """k1, k2, spans (array of lo, hi: first and last repeated window, ascending) of the texts of keyed (k1, k2, id, text) that have any."""
     rows = stored(keyed.select("k1", "k2", "text").filter(F.octet_length("text") >= width).mapInArrow(_anchor_rows(width), "k1 long, k2 long, lo int, hi int, owner long, content long"))
     again = rows.groupBy("owner").agg(F.count("*").alias("n"), F.min("content").alias("c1"), F.max("content").alias("c2")).filter("n > 1").select("owner", (F.col("c1") < F.col("c2")).alias("varied"))
-    rows = stored(rows.join(again, "owner"))
-    contexts = rows.groupBy("owner", "content", "varied").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "lo", "hi")).alias("at"))
+    # tables of their own, so that a join's sides are shuffles and a hot key's rows can be dealt to several tasks
+    rows = stored(rows.join(stored(again), "owner"))
+    contexts = stored(rows.groupBy("owner", "content", "varied").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "lo", "hi")).alias("at")))
     whole = rows.join(contexts.filter("n > 1").select("owner", "content"), ["owner", "content"]).select("k1", "k2", "lo", "hi")
     open_groups = contexts.filter("varied").groupBy("owner").agg(F.min("n").alias("least")).filter("least = 1").select("owner")
     source = keyed.groupBy("k1", "k2").agg(F.min("id").alias("id"))
@@ -275,9 +332,13 @@ def repeated_ranges(keyed: DataFrame, width: int) -> DataFrame:
         wanted.k2,
         "lo",
         "n",
-        (F.col("hi") - F.col("lo") + 1).alias("windows"),
+        (F.col("hi") - F.col("lo") + 1).cast("int").alias("windows"),
         F.substring(F.col("text").cast("binary"), F.col("lo") + 1, F.col("hi") - F.col("lo") + width).alias("bytes"),
     )
+    sizes = contexts.filter("varied").groupBy("owner").agg(F.sum(F.col("at.hi") - F.col("at.lo") + width).alias("size"))
+    hot = stored(sizes.filter(F.col("size") > HOT).select("owner"))
+    if not hot.isEmpty():
+        cut = split_hot(cut, hot, width)
     single = cut.repartition("owner").sortWithinPartitions("owner", "content").mapInArrow(_shard_rows(width), "k1 long, k2 long, lo int, hi int")
     return whole.union(single).groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
 
