@@ -9,7 +9,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from strandline.llm import base, language_id, mixing, quotations, textscan, token_counts, warc
+from test_llm_operators import repeats
+
+from strandline.llm import base, embedding_join, language_id, mixing, ngram_join, quotations, suffix_dedup, textscan, token_counts, warc
 
 rng = random.Random(23)
 LETTERS = {"aa": "abcdefg", "bb": "efghijkl", "cc": "ijklmnop"}
@@ -175,3 +177,93 @@ def test_replies_are_taken_apart_again(spark):
     assert {r["text"] for r in mail.filter("conv_id = 1 and turn = 2").collect()} == {"\nSomeone wrote:\n>  fine \n> > Hello\n> > there"}
     got = collections.Counter((r["conv_id"], r["turn"], r["text"], r["n_quoted"], r["reply_to"], r["depth"]) for r in quotations.reply_ordered(mail).collect())
     assert got == collections.Counter([(1, 0, "Hello\nthere", 0, None, 0), (1, 1, "fine", 2, 0, 1), (1, 2, "", 3, 1, 2), (1, 3, "after null", 0, None, 0), (1, 4, "twice", 1, 3, 1), (1, 4, "twice too", 1, 3, 1), (1, 5, "x", 0, None, 0), (2, 7, "alone", 0, None, 0)])
+
+
+def shingles(text, n=2):
+    w = (text or "").split()
+    return {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} or ({tuple(w)} if w else set())
+
+
+def vertices(rows, percent, n=2):
+    """Set size of each row, and the smallest id that its id reaches; an id is one vertex whatever texts it has."""
+    label = {i: i for i, _ in rows if i is not None}
+    sets = [(i, shingles(t, n)) for i, t in rows]
+    links = [(a, b) for a, x in sets for b, y in sets if a is not None and b is not None and a < b and x and y and 100 * len(x & y) >= percent * len(x | y)]
+    for _ in rows:
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+    return collections.Counter((i, len(x), label.get(i)) for i, x in sets)
+
+
+def variants(n, words, edits):
+    base = [f"w{k}" for k in range(words)]
+    out = []
+    for k in range(n):
+        text = list(base)
+        for at in rng.sample(range(words), rng.randint(*edits)):
+            text[at] = f"x{rng.randrange(10**6)}"
+        out.append(" ".join(text))
+    return out
+
+
+@pytest.mark.parametrize("sketched", [True, False])
+def test_repeated_and_odd_ids(spark, sketched):
+    a = variants(1, 60, (0, 0))[0]
+    near, b = a.replace("w59", "y"), "b " * 3 + " ".join(f"v{k}" for k in range(60))
+    rows = [(5, a), (5, b), (1, b + " z"), (9, near), (9, near), (None, a), (None, None), (7, ""), (7, b + " q"), (8, None), (8, None), (3, "lone")]
+    for kind, name in (("long", lambda i: i), ("string", lambda i: None if i is None else f"id {i}"), ("decimal(9,2)", lambda i: None if i is None else __import__("decimal").Decimal(i))):
+        named = [(name(i), t) for i, t in rows]
+        table = spark.createDataFrame([(*r, 1) for r in named], f"doc_id {kind}, text string, f1 int")
+        got = ngram_join.ngram_join(table, "doc_id", "text", n=2, percent=80, sketched=sketched)
+        want = vertices(named, 80)
+        assert collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == want
+        assert {i: c for i, _, c in want}[name(9)] == name(1)
+
+
+@pytest.mark.parametrize(("block", "many"), [(1 << 13, 1 << 13), (5, 1 << 13), (5, 3)])
+def test_large_blocks_are_split(spark, monkeypatch, block, many):
+    """Hot blocks and signatures give the same links by other ways."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "MANY", many)
+    texts = [*variants(30, 50, (0, 3)), *variants(40, 50, (2, 9)), *[" ".join(f"u{k + j}" for j in range(40)) for k in range(25)]]
+    rows = [(k, t) for k, t in enumerate(texts)]
+    got = ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", n=2, percent=80)
+    assert collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got.collect()) == vertices(rows, 80)
+
+
+def test_hot_owners_are_split(spark, monkeypatch):
+    """Phrases that all texts share, with other words around them, give the same ranges in rounds of owners."""
+    phrase, tail = words_of("aa", 30), words_of("bb", 12)
+    rows = [(k, " ".join([words_of("cc", rng.randint(0, 25)), phrase, words_of("cc", rng.randint(0, 3) and 9), tail[: rng.randint(0, len(tail))]])) for k in range(60)]
+    rows += [(60 + k, rows[k][1][5:]) for k in range(12)] + [(3, rows[3][1]), (None, phrase * 3), (90, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    run = lambda: collections.Counter(map(tuple, suffix_dedup.remove_repeats(table, "doc_id", "text", 60).collect()))
+    whole = run()
+    assert whole == repeats(rows, 60)
+    for hot, shard in ((600, 1 << 20), (2000, 500)):
+        monkeypatch.setattr(suffix_dedup, "HOT", hot)
+        monkeypatch.setattr(suffix_dedup, "SHARD", shard)
+        assert run() == whole
+
+
+def test_segments_of_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", 700)
+    monkeypatch.setattr(base.pieces, "__defaults__", (500,))
+    part = words_of("aa", 150)
+    rows = [(1, words_of("bb", 300) + part + words_of("cc", 200)), (2, words_of("cc", 40) + part), (3, "short"), (4, words_of("bb", 900))]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", 60).collect()
+    assert collections.Counter(map(tuple, got)) == repeats(rows, 60)
+
+
+def test_vectors_of_several_dimensions(spark):
+    gen = np.random.default_rng(8)
+    vectors = [(k, (gen.normal(size=d) if k % 3 else np.ones(d) + gen.normal(size=d) * 0.1).astype(np.float32).tolist()) for k, d in enumerate([2, 3, 7] * 40)]
+    vectors += [(200, [1e30, 1e30]), (201, [1e-30, 1e-30]), (202, [3.0, 3.0]), (203, [0.0, -0.0]), (204, [float("inf"), 1.0])]
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_join.near_duplicates(spark.createDataFrame([(*v, 1) for v in vectors], "vec_id long, embedding array<float>, no int"), "vec_id", "embedding").collect()}
+    x = {k: np.array(v, np.float32).astype(np.float64) for k, v in vectors}
+    far = {k: v / np.linalg.norm(v) for k, v in x.items() if np.isfinite(v).all() and np.any(v)}
+    links = {a: {b for b in far if b != a and len(far[a]) == len(far[b]) and far[a] @ far[b] >= 0.9} for a in far}
+    label = {k: k for k in x}
+    for _ in x:
+        label |= {a: min([label[a], *[label[b] for b in links[a]]]) for a in links}
+    assert got == {k: (len(links.get(k, ())), label[k]) for k in x}

@@ -355,19 +355,20 @@ def test_embedding_join(spark):
     gen = np.random.default_rng(2)
     centres = gen.normal(size=(40, 16))
     vectors = [(c + gen.normal(size=16) * s).tolist() for c in centres for s in (0.05, 0.2, 0.25)] + [centres[0].tolist()] * 5
-    odd = [None, [], [0.0] * 16, [float("nan")] * 16, [1.0, *[None] * 15], [1.0]]
+    odd = [None, [], [0.0] * 16, [float("nan")] * 16, [1.0, *[None] * 15], [1.0]]  # the last: alone in its dimension
     rows = [(k, v) for k, v in enumerate(vectors + odd)] + [(None, vectors[0])]
     got = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in embedding_join.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding").collect()}
-    x = np.array(vectors)
+    x = np.array([*vectors, vectors[0]])  # the last has a null id: it counts, and takes the component of the others
     x /= np.linalg.norm(x, axis=1)[:, None]
     near = x @ x.T >= 0.9
     np.fill_diagonal(near, False)
     label = np.arange(len(x))
     for _ in range(len(x)):
         label = np.array([min(label[k], label[near[k]].min(initial=label[k])) for k in range(len(x))])
-    for k in range(len(x)):
+    for k in range(len(vectors)):
         assert got[k] == (near[k].sum(), label[k], label[k] == k)
-    assert all(got[k] == (0, k, True) for k in range(len(x), len(x) + len(odd)))
+    assert got[None] == (near[-1].sum(), label[-1], False)
+    assert all(got[k] == (0, k, True) for k in range(len(vectors), len(vectors) + len(odd)))
     assert embedding_join.near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>"), "vec_id", "embedding").count() == 0
 
 
@@ -378,8 +379,11 @@ def test_metric_cells(monkeypatch, spark):
     table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
     run = lambda: {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embedding_join.near_duplicates(table, "vec_id", "embedding").collect()}
     one = run()
-    monkeypatch.setattr(embedding_join, "CELL", 20)
-    assert run() == one
+    for cell, rows in ((64 * 8 * 2, 256), (20 * 64, 3)):
+        monkeypatch.setattr(embedding_join, "CELL", cell)
+        monkeypatch.setattr(embedding_join, "ROWS", rows)
+        monkeypatch.setattr(embedding_join, "_natives", lambda d: max(16, embedding_join.CELL // (8 * d)))
+        assert run() == one
 
 
 PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{{}}</style><script>var t="</p>";</script></head><body><nav><ul><li><a href=/>Home</a></li></ul></nav><!-- ad --><div class="ad">Buy</div>
