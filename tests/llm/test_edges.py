@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from test_llm_operators import repeats
 
-from strandline.llm import base, embedding_join, language_id, mixing, ngram_join, quotations, suffix_dedup, textscan, token_counts, warc
+from strandline.llm import base, decontaminate, embedding_join, language_id, mixing, ngram_join, quotations, suffix_dedup, textscan, token_counts, warc, wrappers
 
 rng = random.Random(23)
 LETTERS = {"aa": "abcdefg", "bb": "efghijkl", "cc": "ijklmnop"}
@@ -267,3 +267,128 @@ def test_vectors_of_several_dimensions(spark):
     for _ in x:
         label |= {a: min([label[a], *[label[b] for b in links[a]]]) for a in links}
     assert got == {k: (len(links.get(k, ())), label[k]) for k in x}
+
+
+def contained(text, items, size, slop=None):
+    """Words, hit words and items of a text, window by window."""
+    pattern = r"[a-z0-9]+"
+    own, hit, names = re.findall(pattern, (text or "").lower()), set(), set()
+    for i, t in items:
+        w = re.findall(pattern, (t or "").lower())
+        for k in range(max(1, len(w) - size + 1)) if w else ():
+            x = w[k : k + size]
+            for p in range(len(own) - len(x) + 1):
+                if own[p : p + len(x)] == x:
+                    hit.update(range(p, p + len(x)))
+                    names.add(str(i))
+    return len(own), len(hit), len(names), bool(hit)
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 100])
+def test_positional_index(spark, block_bytes):
+    """Frequent terms, repeated terms, windows that overlap, and own columns of the names that are used inside."""
+    words = ["the", "of", "a", *[f"t{k}" for k in range(12)]]
+    text = lambda n: " ".join(rng.choices(words, weights=[30, 15, 10, *[2] * 12], k=n))
+    items = [(k, text(rng.randint(0, 9))) for k in range(40)] + [(90, "the the the"), (91, "the"), (92, None), (7, "of a")]
+    rows = [(k % 50, text(rng.choice([0, 1, 3, 8, 60]))) for k in range(80)] + [(60, "The THE, the!"), (None, "of a t1"), (61, None)] + [(62 + k, items[k][1]) for k in range(9)]
+    table = spark.createDataFrame([(*r, 1, "h", 2, "x", 3) for r in rows], "doc_id long, text string, n_words int, hits string, w int, item string, row int").repartition(3)
+    asked = spark.createDataFrame([(*r, 5) for r in items], "item_id long, text string, n int")
+    found = decontaminate.matches(table, "text", asked, "item_id", "text", size=4, block_bytes=block_bytes)
+    assert found.columns == ["doc_id", "text", "w", "item", "row", "n_words", "hits"]
+    got = collections.Counter((r["doc_id"], r["n_words"], r["n_hit"], r["n_items"], r["contaminated"]) for r in decontaminate.digest(found, "doc_id").collect())
+    assert got == collections.Counter((i, *contained(t, items, 4)) for i, t in rows)
+    for r in found.filter("size(hits) > 0").collect():
+        own = re.findall(r"[a-z0-9]+", r["text"].lower())
+        for h in r["hits"]:
+            spans = [tuple(s) for s in h["spans"]]
+            assert spans == sorted(spans) and all(a < b <= len(own) for a, b in spans) and all(x[1] < y[0] for x, y in zip(spans, spans[1:], strict=False))
+
+
+def test_proximity_stays_in_its_text(spark):
+    texts = [(k, " ".join(rng.choices(["a", "b", "c", "x", "y"], k=rng.randint(1, 12)))) for k in range(120)]
+    docs = spark.createDataFrame(texts, "id long, text string").coalesce(1)
+    found = decontaminate.matches(docs, "text", spark.createDataFrame([(1, "a b c")], "item long, text string"), "item", "text", 3, slop=1)
+    counts = collections.Counter(w for _, t in texts for w in t.split())
+    rare = min(range(3), key=lambda k: (counts["abc"[k]], k))
+    want = set()
+    for i, t in texts:
+        own = t.split()
+        at = lambda k, own=own: {p for p, w in enumerate(own) if w == "abc"[k]}
+        if any(all(any(abs(q - (p + k - rare)) <= 1 for q in at(k)) for k in range(3)) for p in at(rare)):
+            want.add(i)
+    assert {r["id"] for r in found.filter("size(hits) > 0").collect()} == want
+
+
+BLOCK_TAGS = ["h2", "h3", "p", "blockquote", "pre", "address", "center", "h4", "h5", "h6"]
+
+
+def host_pages(n):
+    """Pages of one template: for each place its tag and whether its text is the host's, the page's own, or now and then there."""
+    places = [(tag, rng.choice(["fixed", "own", "some fixed", "some own", "many own"])) for tag in rng.sample(BLOCK_TAGS, rng.randint(1, 7))]
+    pages = []
+    for k in range(n):
+        blocks = []
+        for tag, kind in places:
+            if kind.startswith("some") and rng.random() < 0.5:
+                continue
+            for j in range(rng.randint(2, 4) if kind.startswith("many") else 1):
+                blocks.append((tag, f"{tag} of all" if kind.endswith("fixed") else f"{tag} {k} {j} {rng.randrange(10**6)}"))
+        pages.append(blocks)
+    return pages
+
+
+@pytest.mark.parametrize("copies", [1, 2])
+def test_alignment_decides(spark, copies):
+    """A text that different pages of a host have in one place is the host's; all others are the page's own."""
+    rows, want = [], {}
+    for host in range(40):
+        pages = host_pages(rng.randint(1, 6)) * copies
+        for blocks in pages:
+            places = {tag: {(x, tuple(other)) for other in pages for t, x in other if t == tag} for tag, _ in blocks}
+            fixed = {tag for tag, found in places.items() if len({x for x, _ in found}) == 1 and len({page for _, page in found}) > 1}
+            want[len(rows)] = "\n".join(x for tag, x in blocks if tag not in fixed)
+            rows.append((len(rows), f"http://h{host}.example/x", "<html><body>" + "".join(f"<{tag}>{x}</{tag}>" for tag, x in blocks), "w", 1))
+    table = spark.createDataFrame(rows, "page_id long, url string, html string, host string, wrapper int").repartition(5)
+    got = {r["page_id"]: r["text"] for r in wrappers.main_text(table, "page_id", "url", "html").collect()}
+    assert got == want
+    assert any(want[k] != re.sub("<[^>]*>", "\n", r[2]).strip() for k, r in enumerate(rows))
+
+
+def brute_match(a, b):
+    best = {}
+    for i in range(len(a), -1, -1):
+        for j in range(len(b), -1, -1):
+            best[i, j] = 0 if i == len(a) or j == len(b) else best[i + 1, j + 1] + 1 if a[i] == b[j] else max(best[i + 1, j], best[i, j + 1])
+    return best[0, 0]
+
+
+def test_longest_common_subsequences():
+    for _ in range(300):
+        a, b = ([rng.choice("abcd") for _ in range(rng.randint(0, 12))] for _ in range(2))
+        pairs = wrappers.matched(a, b)
+        assert all(a[i] == b[j] for i, j in pairs) and all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:], strict=False))
+        assert len(pairs) == brute_match(a, b)
+
+
+def test_pages_that_name_their_parts(spark):
+    deep = "<div>" * 5000
+    cases = {
+        "<main><p>intro</p><article><p>teaser</p></article></main>": "intro\nteaser",
+        '<div id="post-sidebar-wide" class="content">kept</div>': "kept",
+        '<div class="text share">kept</div>': "kept",
+        '<div class="side">kept</div>': "kept",
+        '<div class="sidebar"><p>all there is</p></div>': "all there is",
+        '<div class="sidebar"><p>out</p></div><p>kept</p>': "kept",
+        '<div class="widget-area"><h1>Head</h1><p>kept</p></div><div class="site-footer"><h1>out</h1></div>': "Head\nkept",
+        '<article></article><div class="ad">out</div>': "",
+        '<article><p>kept</p><div class="comments-area"><article>out</article></div></article>': "kept",
+        '<article class="share"><p>kept</p></article><article class="comment">out</article>': "kept",
+        "<ul><li><a href=x>out</a><li><a href=y>out too</a></ul><p>kept <a href=z>link</a></p>": "kept link",
+        f"{deep}kept{'</div>' * 5000}": "kept",
+        "</p>" * 3000 + "<b>kept": "kept",
+        '<div role="navigation">out</div><header>out</header><p>kept': "kept",
+    }
+    rows = [(k, f"http://h{k}/", html) for k, html in enumerate(cases)] + [(100 + k, "http://same/", "<p>Same para</p>") for k in range(3)] + [(100, "http://same/", "<p>Same para</p>"), (None, None, "<p>x"), (200, "http://n/", None)]
+    got = collections.Counter((r["page_id"], r["text"], r["n_chars"]) for r in wrappers.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"), "page_id", "url", "html").collect())
+    want = [(k, text, len(text)) for k, text in enumerate(cases.values())] + [(100 + k, "Same para", 9) for k in (0, 0, 1, 2)] + [(None, "x", 1), (200, "", 0)]
+    assert got == collections.Counter(want)
