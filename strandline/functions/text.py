@@ -43,18 +43,19 @@ def _unescape(s: pd.Series) -> pd.Series:
     return s.map(html.unescape, na_action="ignore")
 
 
+def _beyond_ascii(s: Column, plain: Column, udf) -> Column:  # noqa: ANN001
+    """plain for ASCII text, which never leaves the JVM; the Python function gets only the other texts."""
+    other = s.rlike(r"[^\x00-\x7F]")
+    return F.when(other, udf(F.when(other, s))).otherwise(plain)
+
+
 def nfkc(s: Column) -> Column:
-    return _nfkc(_none(s))
+    return _beyond_ascii(_none(s), _none(s), _nfkc)
 
 
 def folded(s: Column) -> Column:
     """NFKC and case folding; the form that the other name functions start from."""
-    return _fold(_none(s))
-
-
-def ascii_folded(s: Column) -> Column:
-    """folded() for ASCII names, without leaving the JVM."""
-    return F.lower(_none(s))
+    return _beyond_ascii(_none(s), F.lower(_none(s)), _fold)
 
 
 def trivial_norm(s: Column, fold=folded) -> Column:  # noqa: ANN001

@@ -25,6 +25,13 @@ def node_props(properties: Column, attributes: Column) -> Column:
     return F.coalesce(F.from_json(F.coalesce(properties, attributes), BAG), F.from_json(F.lit("{}"), BAG))
 
 
+def node_bag(node: Column) -> Column:
+    """The bag of a node that is JSON text: a properties key counts even if its value is null."""
+    given = F.array_contains(F.json_object_keys(node), "properties")
+    raw = F.when(given, F.get_json_object(node, "$.properties")).otherwise(F.get_json_object(node, "$.attributes"))
+    return F.coalesce(F.from_json(raw, BAG), F.from_json(F.lit("{}"), BAG))
+
+
 def rename_keys(bag: Column, aliases: Column) -> Column:
     """Keys by an alias map; of keys that become equal the last value stays (at the first one's place).
 

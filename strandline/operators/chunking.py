@@ -27,17 +27,19 @@ def chunk_count(n: Column, target: Column, most: int = MOST_CHUNKS) -> Column:
 
 def plan(docs: DataFrame, target: Column, id_col: str = "doc_id", text_col: str = "text", overlap: int = OVERLAP, most: int = MOST_CHUNKS) -> DataFrame:
     """id, chunk_no, start and end line (end excluded). Overlap reaches back only; later chunks may be empty."""
-    sized = docs.withColumn("__lines", lines_of(F.col(text_col))).withColumn("__n", F.size("__lines")).withColumn("__chunks", chunk_count(F.col("__n"), target, most))
+    sized = docs.withColumn("__ended", F.coalesce(F.col(text_col), F.lit("")).rlike(r"[\r\n]\z")).withColumn("__lines", lines_of(F.col(text_col))).withColumn("__n", F.size("__lines")).withColumn("__chunks", chunk_count(F.col("__n"), target, most))
     sized = sized.withColumn("__size", F.floor(F.col("__n") / F.col("__chunks")).cast("int") + 1)
-    rows = sized.select(id_col, "__lines", "__n", "__size", F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1)).alias("chunk_no"))
+    rows = sized.select(id_col, "__lines", "__ended", "__n", "__size", F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1)).alias("chunk_no"))
     start, end = F.greatest(F.lit(0), F.col("chunk_no") * F.col("__size") - overlap), F.least(F.col("__n"), (F.col("chunk_no") + 1) * F.col("__size"))
-    return rows.select(id_col, "chunk_no", start.alias("start"), end.alias("end"), "__lines")
+    return rows.select(id_col, "chunk_no", start.alias("start"), end.alias("end"), "__lines", "__ended", "__n")
 
 
 def chunks(docs: DataFrame, target: Column, id_col: str = "doc_id", text_col: str = "text", overlap: int = OVERLAP, most: int = MOST_CHUNKS) -> DataFrame:
-    """plan() with the chunk's text, and the name of its file."""
+    """plan() with the chunk's text, each line with its end (as "\\n"), and the name of its file."""
     planned = plan(docs, target, id_col, text_col, overlap, most)
-    text = F.array_join(F.slice(F.col("__lines"), F.col("start") + 1, F.greatest(F.col("end") - F.col("start"), F.lit(0))), "\n")
+    held = F.greatest(F.col("end") - F.col("start"), F.lit(0))
+    end = F.when((held > 0) & ((F.col("end") < F.col("__n")) | F.col("__ended")), "\n").otherwise("")
+    text = F.concat(F.array_join(F.slice(F.col("__lines"), F.col("start") + 1, held), "\n"), end)
     return planned.select(id_col, "chunk_no", "start", "end", text.alias("text"), F.format_string("chunk_%02d.txt", "chunk_no").alias("file"))
 
 

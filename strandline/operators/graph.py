@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import ontology
@@ -58,12 +58,17 @@ def type_predicates(flow: DataFrame) -> DataFrame:
 
 
 def pivot_types(flow: DataFrame) -> DataFrame:
-    """Square table: a row per subject type, a column per type of the vocabulary; absent pairs are 0."""
-    return flow.groupBy("doc_id", "st").pivot("ot", ontology.ENTITY_TYPES).agg(F.sum("n")).na.fill(0)
+    """Square table: a row per subject type, a column per type of the vocabulary, and one for all other types; absent pairs are 0."""
+    return _pivoted(flow, "ot", ontology.ENTITY_TYPES)
 
 
 def pivot_predicates(flow: DataFrame, codes: list[str] | None = None) -> DataFrame:
-    return flow.groupBy("doc_id", "st").pivot("code", codes or [*ontology.RELATIONS, *ontology.INFERRED_RELATIONS]).agg(F.sum("n")).na.fill(0)
+    return _pivoted(flow, "code", codes or [*ontology.RELATIONS, *ontology.INFERRED_RELATIONS])
+
+
+def _pivoted(flow: DataFrame, column: str, values: list[str]) -> DataFrame:
+    listed = F.when(F.col(column).isin(values), F.col(column)).otherwise(F.lit("unlisted"))
+    return flow.withColumn(column, listed).groupBy("doc_id", "st").pivot(column, [*values, "unlisted"]).agg(F.sum("n")).na.fill(0)
 
 
 def sankey(flow: DataFrame) -> DataFrame:
@@ -87,17 +92,22 @@ def catalog(triples: DataFrame) -> DataFrame:
 
 
 def merged_nodes(triples: DataFrame) -> DataFrame:
-    """Stored nodes over all documents: (name, type), props (the last value of each key, subject before object), source_docs."""
-    rows = sides(triples, props=True).filter(F.length("name") > 0).select("doc_id", F.struct("doc_id", "seq", "side").alias("at"), "name", F.coalesce(F.nullif("type", F.lit("")), F.lit("Other")).alias("type"), "props")
+    """Stored nodes over all documents: (name, type), props (the last value of each key, subject before object), source_docs in
+    order of loading: doc_seq (where triples have it), then doc_id."""
+    if "doc_seq" not in triples.columns:
+        triples = triples.withColumn("doc_seq", F.lit(None).cast("int"))
+    rows = sides(triples, props=True).filter(F.length("name") > 0).select("doc_id", "doc_seq", F.struct("doc_seq", "doc_id", "seq", "side").alias("at"), "name", F.coalesce(F.nullif("type", F.lit("")), F.lit("Other")).alias("type"), "props")
     entries = rows.select("name", "type", "at", F.explode("props").alias("key", "value")).groupBy("name", "type", "key").agg(F.max_by("value", "at").alias("value"))
     bags = entries.groupBy("name", "type").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("props"))
-    seen = rows.groupBy("name", "type").agg(F.count("*").alias("mentions"), F.array_sort(F.collect_set("doc_id")).alias("source_docs"))
+    loaded = F.array_sort(F.collect_set(F.struct(F.coalesce("doc_seq", F.lit(0)).alias("doc_seq"), "doc_id")))
+    seen = rows.groupBy("name", "type").agg(F.count("*").alias("mentions"), F.transform(loaded, lambda d: d["doc_id"]).alias("source_docs"))
     return seen.join(bags, ["name", "type"], "left").withColumn("props", F.coalesce("props", F.from_json(F.lit("{}"), "map<string,string>")))
 
 
 def merged_edges(triples: DataFrame) -> DataFrame:
     """Stored edges over all documents: (s, code, o); evidence, id and document of the last triple, props key-wise from the last."""
-    rows = triples.filter((F.length("s_name") > 0) & (F.length("o_name") > 0)).withColumn("at", F.struct("doc_id", "seq"))
+    order = ["doc_seq", "doc_id", "seq"] if "doc_seq" in triples.columns else ["doc_id", "seq"]
+    rows = triples.filter((F.length("s_name") > 0) & (F.length("o_name") > 0)).withColumn("at", F.struct(*order))
     keys = ["s_name", "s_type", "code", "o_name", "o_type"]
     last = rows.groupBy(*keys).agg(F.count("*").alias("triples"), F.max_by("id", "at").alias("id"), F.max("at")["doc_id"].alias("source_doc"))
     if "p_props" not in triples.columns:
@@ -140,6 +150,23 @@ def top_cells(flow: DataFrame) -> DataFrame:
     return pair.join(pred, "doc_id").select("doc_id", F.concat_ws("→", "p.st", "p.ot").alias("pair"), (-F.col("p.m")).alias("pair_n"), F.concat_ws("→", "q.st", "q.code").alias("type_code"), (-F.col("q.m")).alias("type_code_n"))
 
 
+def interpretation(edge: DataFrame, node: DataFrame) -> DataFrame:
+    """Per document: most frequent type and code (ties by first appearance), and the causal edges' number and share."""
+    types = node.groupBy("doc_id", "type").agg(F.count("*").alias("n"), F.min("first").alias("first"))
+    codes = edge.groupBy("doc_id", "code").agg(F.count("*").alias("n"), F.min("seq").alias("first"))
+    best = lambda df, c: df.groupBy("doc_id").agg(F.max_by(c, F.struct("n", -F.col("first"))).alias(f"top_{c}"), F.max("n").alias(f"top_{c}_n"), F.sum("n").alias(f"all_{c}"))
+    causes = edge.groupBy("doc_id").agg(F.count_if(ontology.is_causal(F.col("code"))).alias("causal"))
+    rows = best(types, "type").join(best(codes, "code"), "doc_id").join(causes, "doc_id")
+    return rows.select("doc_id", "top_type", "top_type_n", "top_code", "top_code_n", "causal", (F.col("causal") / F.col("all_code")).alias("causal_share"))
+
+
+def fragmentation(labels: DataFrame, label_col: str) -> DataFrame:
+    """Per document: communities, the size of the largest, those of one node, and their share."""
+    sizes = labels.groupBy("doc_id", label_col).agg(F.count("*").alias("size"))
+    one = F.count_if(F.col("size") == 1)
+    return sizes.groupBy("doc_id").agg(F.count("*").alias("communities"), F.max("size").alias("largest"), one.alias("singletons"), (one / F.count("*")).alias("singleton_share"))
+
+
 def force_graph(edge: DataFrame, node: DataFrame) -> tuple[DataFrame, DataFrame]:
     return node.select("doc_id", F.col("name").alias("id"), "type", "deg", ontology.colour_of(F.col("type")).alias("color")), edge.select("doc_id", F.col("src").alias("source"), F.col("dst").alias("target"), "code")
 
@@ -161,9 +188,22 @@ def components(pairs: DataFrame, by: str) -> DataFrame:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """df as a checkpoint in the shared folder that the cluster names (a temporary one where none is set, as in tests):
-    plans of loops stay short, and a lost executor costs one read."""
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="strandline-"))
+    """df as a checkpoint in the shared folder: plans of loops stay short, and a lost executor costs one read."""
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the cluster names it. Only a local master may do without one.
+    Checkpoints in it go when the driver's JVM ends."""
+    sc = spark.sparkContext
+    held = sc._jsc.sc().getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if held.isEmpty():
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="strandline-"))
+        held = sc._jsc.sc().getCheckpointDir()
+        path = spark._jvm.org.apache.hadoop.fs.Path(held.get())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return named or held.get()

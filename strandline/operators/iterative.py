@@ -216,6 +216,22 @@ def connectivity(edge: DataFrame, node: DataFrame, paths: DataFrame) -> tuple[Da
     return slots.withColumn("color", ontology.colour_of(F.col("type"))), e.join(first, ["doc_id", "src", "dst"], "left").withColumn("code", F.coalesce("code", F.lit("")))
 
 
+def trunk(links: DataFrame, placed: DataFrame) -> DataFrame:
+    """doc_id, src, dst and weight of the edge that most kept paths share (ties by name), and the greatest layer."""
+    heaviest = links.groupBy("doc_id").agg(F.min(F.struct((-F.col("weight")).alias("w"), "src", "dst")).alias("t"))
+    deepest = placed.groupBy("doc_id").agg(F.max("layer").alias("max_layer"))
+    return heaviest.join(deepest, "doc_id").select("doc_id", "t.src", "t.dst", (-F.col("t.w")).alias("weight"), "max_layer")
+
+
+def summary(edge: DataFrame, node: DataFrame, labels: DataFrame, label_col: str, paths: DataFrame) -> DataFrame:
+    """The row of totals of each document: nodes, edges, types, predicates, communities, major_paths."""
+    e = edge.groupBy("doc_id").agg(F.count("*").alias("edges"), F.countDistinct("code").alias("predicates"))
+    n = node.groupBy("doc_id").agg(F.count("*").alias("nodes"), F.countDistinct("type").alias("types"))
+    c = labels.groupBy("doc_id").agg(F.countDistinct(label_col).alias("communities"))
+    p = paths.groupBy("doc_id").agg(F.count("*").alias("major_paths"))
+    return n.join(e, "doc_id").join(c, "doc_id").join(p, "doc_id", "left").na.fill(0, ["major_paths"])
+
+
 def complete_paths(paths: DataFrame, node: DataFrame) -> DataFrame:
     """doc_id and number of kept paths that run from a hazard to a damage."""
     kind = node.select("doc_id", "name", "type")

@@ -49,7 +49,7 @@ def canonical_keys(triples: DataFrame, node_aliases: dict[str, str], relation_al
 def sides(triples: DataFrame, props: bool = False) -> DataFrame:
     """Subjects and objects as rows: doc_id, ord2 (subject first), name, type (and props)."""
     side = lambda p, k: F.struct(F.lit(k).alias("side"), F.col(f"{p}_name").alias("name"), F.col(f"{p}_type").alias("type"), *([F.col(f"{p}_props").alias("props")] if props else []))
-    cols = [c for c in ("doc_id", "ord", "seq") if c in triples.columns]
+    cols = [c for c in ("doc_id", "doc_seq", "ord", "seq") if c in triples.columns]
     return triples.select(*cols, F.inline(F.array(side("s", 0), side("o", 1))))
 
 
@@ -58,8 +58,26 @@ def entity_mentions(triples: DataFrame) -> DataFrame:
 
 
 def predicate_distribution(triples: DataFrame) -> DataFrame:
-    """Rows for documents and a total (doc_id null) from one aggregation."""
-    return triples.rollup("doc_id", "code").agg(F.count("*").alias("triples"), F.count_if(F.col("code").isin(ontology.CASCADE)).alias("cascade")).filter("doc_id is not null or code is null")
+    """Rows for codes, documents and in total from one aggregation; level tells them apart (0: code, 1: document, 3: all),
+    as a document or code may be null itself."""
+    counts = [F.grouping_id().cast("long").alias("level"), F.count("*").alias("triples"), F.count_if(F.col("code").isin(ontology.CASCADE)).alias("cascade")]
+    return triples.rollup("doc_id", "code").agg(*counts)
+
+
+def type_order(triples: DataFrame) -> DataFrame:
+    """entity_mentions() with place: by mentions, then by first mention."""
+    counted = sides(triples).groupBy("doc_id", "type").agg(F.count("*").alias("mentions"), F.min(F.struct("seq", "side")).alias("first"))
+    return _placed(counted)
+
+
+def code_order(triples: DataFrame) -> DataFrame:
+    """Codes of each document with place: by triples, then by first triple."""
+    return _placed(triples.groupBy("doc_id", "code").agg(F.count("*").alias("mentions"), F.min("seq").alias("first")))
+
+
+def _placed(counted: DataFrame) -> DataFrame:
+    order = Window.partitionBy("doc_id").orderBy(F.desc("mentions"), "first")
+    return counted.withColumn("place", F.row_number().over(order).cast("long")).drop("first")
 
 
 def emergent_nodes(triples: DataFrame) -> DataFrame:
@@ -79,20 +97,20 @@ def _counted(keys: DataFrame) -> DataFrame:
 
 
 def ordered_schema(counted: DataFrame) -> DataFrame:
-    """owner_total and places: owners by total, keys by count, both descending."""
+    """owner_total, owner_place and key_place: owners by total, keys by count, both descending, equal ones by name."""
     total = F.sum("cnt").over(Window.partitionBy("doc_id", "owner"))
     sized = counted.withColumn("owner_total", total)
-    return sized.withColumn("key_place", F.row_number().over(Window.partitionBy("doc_id", "owner").orderBy(F.desc("cnt"), "key")).cast("long"))
+    placed = sized.withColumn("key_place", F.row_number().over(Window.partitionBy("doc_id", "owner").orderBy(F.desc("cnt"), "key")).cast("long"))
+    return placed.withColumn("owner_place", F.dense_rank().over(Window.partitionBy("doc_id").orderBy(F.desc("owner_total"), "owner")).cast("long"))
 
 
-def invalid_types(triples: DataFrame) -> DataFrame:
+def invalid_types(triples: DataFrame, known: list[str] | None = None) -> DataFrame:
     """Mentions of a type that is not in the vocabulary (null included); reported, never dropped."""
-    return sides(triples).filter(~F.coalesce(F.col("type").isin(ontology.ENTITY_TYPES), F.lit(False)))
+    return sides(triples).filter(~F.coalesce(F.col("type").isin(known or ontology.ENTITY_TYPES), F.lit(False)))
 
 
-def invalid_codes(triples: DataFrame) -> DataFrame:
-    known = [*ontology.RELATIONS, *ontology.INFERRED_RELATIONS]
-    return triples.filter(~F.coalesce(F.col("code").isin(known), F.lit(False)))
+def invalid_codes(triples: DataFrame, known: list[str] | None = None) -> DataFrame:
+    return triples.filter(~F.coalesce(F.col("code").isin(known or [*ontology.RELATIONS, *ontology.INFERRED_RELATIONS]), F.lit(False)))
 
 
 def warnings(triples: DataFrame) -> DataFrame:
@@ -101,6 +119,15 @@ def warnings(triples: DataFrame) -> DataFrame:
     return types.unionByName(invalid_codes(triples).select("doc_id", "ord", F.lit("code").alias("kind"), F.col("code").alias("value")))
 
 
+def first_warnings(triples: DataFrame, most: int = 40, types: list[str] | None = None, codes: list[str] | None = None) -> DataFrame:
+    """The report: total of warnings and, in order of the triples, the first `most` of each document (types before codes)."""
+    rows = invalid_types(triples, types).select("doc_id", "seq", "side", F.lit("type").alias("kind"), F.col("type").alias("value"))
+    rows = rows.unionByName(invalid_codes(triples, codes).select("doc_id", "seq", F.lit(2).alias("side"), F.lit("code").alias("kind"), F.col("code").alias("value")))
+    of_document = Window.partitionBy("doc_id")
+    placed = rows.withColumn("total", F.count("*").over(of_document)).withColumn("place", F.row_number().over(of_document.orderBy("seq", "side")).cast("long"))
+    return placed.filter(F.col("place") <= most).select("doc_id", "place", "total", "seq", "kind", "value")
+
+
 def document_metadata(triples: DataFrame, label: str, version: str) -> DataFrame:
     """Per document: counts and both distributions as maps; always derived from the triples as they are; a null type or code is ''."""
     types = entity_mentions(triples).groupBy("doc_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.coalesce("type", F.lit("")), "mentions")))).alias("entity_mention_distribution"))

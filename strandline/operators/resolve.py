@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import base_name, contains_either, folded, is_specific, jaccard, loose_key, tokens, trivial_norm
-from .graph import components
+from .graph import components, cut_lineage
 from .merge import dedup_first, sides, with_ids
 
 Fold = Callable[[Column], Column]
@@ -67,12 +67,12 @@ def extend_registry(registry: DataFrame, merges: DataFrame, note: str) -> DataFr
         "canonical", F.coalesce("type", "new_type").alias("type"), F.concat(known, added).alias("aliases"), F.when(F.col("type").isNull(), F.lit(note)).otherwise(F.col("note")).alias("note"),
         F.coalesce("merge_any_type", F.lit(False)).alias("merge_any_type"), "pos", "version", (F.size(added) > 0).alias("grown"),
     )
-    every = Window.partitionBy(F.lit(0))
-    order = Window.partitionBy(F.lit(0)).orderBy(F.col("pos").asc_nulls_last(), "canonical")
-    return out.select(
-        "canonical", "type", "aliases", "note", "merge_any_type", (F.row_number().over(order) - 1).cast("long").alias("pos"),
-        (F.coalesce(F.max("version").over(every), F.lit(1)) + F.max(F.col("grown").cast("int")).over(every)).alias("version"),
-    )
+    # known entities keep their places, new ones follow by name; one row of totals is joined, by a key that all share
+    out = out.withColumn("all", F.lit(1))
+    fresh = out.filter("pos is null").select("canonical", (F.row_number().over(Window.partitionBy("all").orderBy("canonical")) - 1).alias("nth"))
+    totals = out.groupBy("all").agg((F.coalesce(F.max("version"), F.lit(1)) + F.max(F.col("grown").cast("int"))).alias("new_version"), (F.coalesce(F.max("pos"), F.lit(-1)) + 1).alias("next"))
+    placed = out.join(fresh, "canonical", "left").join(totals, "all")
+    return placed.select("canonical", "type", "aliases", "note", "merge_any_type", F.coalesce("pos", F.col("next") + F.col("nth")).cast("long").alias("pos"), F.col("new_version").cast("int").alias("version"))
 
 
 def cross_type(nodes: DataFrame, registry: DataFrame | None = None, fold: Fold = folded) -> DataFrame:
@@ -124,19 +124,25 @@ def similar_pairs(names: DataFrame, least: float = 0.45, fold: Fold = folded, gr
 
 
 def review_clusters(nodes: DataFrame, registry: DataFrame | None = None, least: float = 0.45, fold: Fold = folded) -> DataFrame:
-    """Clusters of similar canonical names of a type: type, cluster (first name), name, freq; clusters of one are left out."""
+    """Clusters of similar canonical names of a type: type, cluster (first name), name, freq, member_place (by frequency) and
+    cluster_place (by size). Clusters of one are left out, and those whose names the registry already takes for one entity."""
     formed = canonical_of(nodes, registry, fold).groupBy(F.col("form").alias("name"), "type").agg(F.sum("freq").alias("seen"))
     edges = similar_pairs(formed.select("name", "type"), least, fold)
     labels = components(edges.select("type", "a", "b"), by="type")
     own = nodes.select("name", "type", "freq")
-    return labels.select("type", F.col("component").alias("cluster"), F.col("node").alias("name")).join(own, ["name", "type"], "left").select("type", "cluster", "name", F.coalesce("freq", F.lit(0)).cast("long").alias("freq"))
+    members = labels.select("type", F.col("component").alias("cluster"), F.col("node").alias("name")).join(own, ["name", "type"], "left").select("type", "cluster", "name", F.coalesce("freq", F.lit(0)).cast("long").alias("freq"))
+    entities = canonical_of(members, registry, fold).groupBy("type", "cluster").agg(F.countDistinct("form").alias("entities"), F.count("*").alias("size")).filter("entities > 1")
+    # the list that a person reads: clusters are few
+    placed = entities.withColumn("cluster_place", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("size"), "type", "cluster")).cast("long"))
+    by_frequency = Window.partitionBy("type", "cluster").orderBy(F.desc("freq"), "name")
+    return members.withColumn("member_place", F.row_number().over(by_frequency).cast("long")).join(placed.select("type", "cluster", "cluster_place"), ["type", "cluster"])
 
 
 def apply_registry(triples: DataFrame, registry: DataFrame, fold: Fold = folded) -> DataFrame:
     """Names replaced by canonical ones (an entry that merges any type goes first and sets the type), deduplicated
     and numbered again. Persists nothing."""
     every = registry.filter("merge_any_type").select("canonical", "type", "pos", F.posexplode(F.concat(F.array("canonical"), "aliases")).alias("k", "form"))
-    every = every.groupBy(trivial_norm(F.col("form"), fold).alias("norm")).agg(F.max_by(F.struct("canonical", "type"), F.struct("pos", "k")).alias("any"))
+    every = every.groupBy(trivial_norm(F.col("form"), fold).alias("norm")).agg(F.max_by(F.struct("canonical", F.coalesce(F.nullif("type", F.lit("")), F.lit("Other")).alias("type")), F.struct("pos", "k")).alias("any"))
     typed = alias_index(registry, fold)
     out = triples
     for p in ("s", "o"):
@@ -151,8 +157,8 @@ def apply_registry(triples: DataFrame, registry: DataFrame, fold: Fold = folded)
 
 def resolve(triples: DataFrame, registry: DataFrame, least: float = 0.45, fold: Fold = folded) -> dict[str, DataFrame]:
     """The whole stage: registry after both merges, resolved triples, collisions and review clusters."""
-    nodes = node_frequency(triples)
-    first = extend_registry(registry, trivial_merges(nodes, registry, fold), "auto: trivial variant")
-    second = extend_registry(first, parenthetical_merges(nodes, first, fold), "auto: bracket variant")
-    return {"registry": second, "triples": apply_registry(triples, second, fold), "cross_type": cross_type(nodes, second, fold), "clusters": review_clusters(nodes, second, least, fold)}
-
+    # each step is read several times by the next ones
+    nodes = cut_lineage(node_frequency(triples))
+    first = cut_lineage(extend_registry(registry, trivial_merges(nodes, registry, fold), "auto: trivial variant"))
+    second = cut_lineage(extend_registry(first, parenthetical_merges(nodes, first, fold), "auto: bracket variant"))
+    return {"registry": second, "triples": cut_lineage(apply_registry(triples, second, fold)), "cross_type": cut_lineage(cross_type(nodes, second, fold)), "clusters": cut_lineage(review_clusters(nodes, second, least, fold))}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,9 @@ from .. import ontology
 from ..functions import text as X
 from ..functions import triples as P
 from ..operators import checks, chunking, graph, iterative, merge, predict, resolve, schema_state
-from ..sources import documents, sinks
+from ..sources import documents, extractions, sinks
+from ..streaming import state
+from . import dashboard
 from .corpus import BAGS_SQL, MENTIONS_SQL, TRIPLES_SQL, bagged, mentions, triples
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,17 +117,17 @@ def size_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.size_report(docs(spark, sf_dir))
 
 
-LINES_SQL = """l AS (SELECT doc_id, CASE WHEN coalesce(text, '') = '' THEN []::VARCHAR[] ELSE string_split(CASE WHEN ends_with(text, chr(10)) THEN left(text, length(text) - 1) ELSE text END, chr(10)) END AS lines FROM documents),
+LINES_SQL = """l AS (SELECT doc_id, ends_with(coalesce(text, ''), chr(10)) AS ended, CASE WHEN coalesce(text, '') = '' THEN []::VARCHAR[] ELSE string_split(CASE WHEN ends_with(text, chr(10)) THEN left(text, length(text) - 1) ELSE text END, chr(10)) END AS lines FROM documents),
 c AS (SELECT *, len(lines) AS n, greatest(1, least(40, ceil(len(lines) / 5.0)::INT)) AS chunks FROM l),
-p AS (SELECT doc_id, lines, i AS chunk_no, greatest(0, i * (n // chunks + 1) - 2) AS "start", least(n, (i + 1) * (n // chunks + 1)) AS "end" FROM c, LATERAL (SELECT unnest(range(chunks)) AS i))"""
+p AS (SELECT doc_id, lines, n, ended, i AS chunk_no, greatest(0, i * (n // chunks + 1) - 2) AS "start", least(n, (i + 1) * (n // chunks + 1)) AS "end" FROM c, LATERAL (SELECT unnest(range(chunks)) AS i))"""
 
 
 @query(f'WITH {LINES_SQL} SELECT doc_id, chunk_no::INT AS chunk_no, "start"::INT AS "start", "end"::INT AS "end" FROM p')
 def chunk_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunking.plan(docs(spark, sf_dir).select("doc_id", "text"), F.lit(5), overlap=2).drop("__lines")
+    return chunking.plan(docs(spark, sf_dir).select("doc_id", "text"), F.lit(5), overlap=2).select("doc_id", "chunk_no", "start", "end")
 
 
-@query(f"""WITH {LINES_SQL} SELECT doc_id, chunk_no::INT AS chunk_no, md5(array_to_string(lines["start" + 1 : "end"], chr(10))) AS text_md5, printf('chunk_%02d.txt', chunk_no) AS file FROM p""")
+@query(f"""WITH {LINES_SQL} SELECT doc_id, chunk_no::INT AS chunk_no, md5(array_to_string(lines["start" + 1 : "end"], chr(10)) || CASE WHEN "end" > "start" AND ("end" < n OR ended) THEN chr(10) ELSE '' END) AS text_md5, printf('chunk_%02d.txt', chunk_no) AS file FROM p""")
 def chunk_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunking.chunks(docs(spark, sf_dir).select("doc_id", "text"), F.lit(5), overlap=2).select("doc_id", "chunk_no", F.md5("text").alias("text_md5"), "file")
 
@@ -160,17 +163,33 @@ def entity_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.entity_mentions(triples(spark, sf_dir))
 
 
-@query(on_triples(f"SELECT doc_id, code, count(*) AS triples, count(*) FILTER (code IN ({CASCADE})) AS cascade FROM t GROUP BY ROLLUP (doc_id, code)"))
+@query(on_triples(f"SELECT doc_id, code, grouping_id(doc_id, code)::BIGINT AS level, count(*) AS triples, count(*) FILTER (code IN ({CASCADE})) AS cascade FROM (SELECT doc_id, CASE WHEN seq % 17 <> 0 THEN code END AS code FROM t) GROUP BY ROLLUP (doc_id, code)"))
 def predicate_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge.predicate_distribution(triples(spark, sf_dir))
+    found = triples(spark, sf_dir)
+    return merge.predicate_distribution(found.withColumn("code", F.when(F.col("seq") % 17 != 0, F.col("code"))))
+
+
+@query(on_triples("SELECT doc_id, type, count(*) AS mentions, row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, min(pos)) AS place FROM ends GROUP BY doc_id, type"))
+def type_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge.type_order(triples(spark, sf_dir))
+
+
+@query(on_triples("SELECT doc_id, code, count(*) AS mentions, row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, min(seq)) AS place FROM t GROUP BY doc_id, code"))
+def code_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge.code_order(triples(spark, sf_dir))
 
 
 EMERGENT = "k AS (SELECT doc_id, type AS owner, unnest(bag).k AS key FROM bags)"
 
 
-@query(on_triples("SELECT doc_id, owner, key, count(*) AS cnt, sum(count(*)) OVER (PARTITION BY doc_id, owner)::BIGINT AS owner_total FROM k GROUP BY doc_id, owner, key", f"{BAGS_SQL}, {EMERGENT}"))
+@query(
+    on_triples(
+        "SELECT *, row_number() OVER (PARTITION BY doc_id, owner ORDER BY cnt DESC, key) AS key_place, dense_rank() OVER (PARTITION BY doc_id ORDER BY owner_total DESC, owner) AS owner_place FROM (SELECT doc_id, owner, key, count(*) AS cnt, sum(count(*)) OVER (PARTITION BY doc_id, owner)::BIGINT AS owner_total FROM k GROUP BY doc_id, owner, key)",
+        f"{BAGS_SQL}, {EMERGENT}",
+    )
+)
 def emergent_node_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return merge.ordered_schema(merge.emergent_nodes(bagged(triples(spark, sf_dir)))).drop("key_place")
+    return merge.ordered_schema(merge.emergent_nodes(bagged(triples(spark, sf_dir))))
 
 
 @query(on_triples("SELECT doc_id, code AS owner, key, count(*) AS cnt FROM t, (VALUES ('time'), ('effectiveness')) v(key) GROUP BY ALL"))
@@ -217,6 +236,22 @@ def warning_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.warnings(mixed(spark, sf_dir)).groupBy("kind").agg(F.count("*").alias("warnings"))
 
 
+@query(
+    on_triples(
+        f"SELECT doc_id, place, total, seq, kind, value FROM (SELECT *, count(*) OVER (PARTITION BY doc_id) AS total, row_number() OVER (PARTITION BY doc_id ORDER BY seq, side) AS place FROM (SELECT doc_id, seq, 0 AS side, 'type' AS kind, s_type AS value FROM x WHERE s_type NOT IN ({TYPES}) UNION ALL SELECT doc_id, seq, 1, 'type', o_type FROM x WHERE o_type NOT IN ({TYPES}) UNION ALL SELECT doc_id, seq, 2, 'code', code FROM x WHERE code NOT IN ({CODES}))) WHERE place <= 40",
+        MIXED,
+    )
+)
+def first_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merge.first_warnings(mixed(spark, sf_dir))
+
+
+@query(on_triples(f"SELECT doc_id AS source_document, count(*) AS triple_count, max(types) AS types, max(codes) AS codes FROM t JOIN (SELECT doc_id, string_agg(type || '=' || c, ',' ORDER BY type) AS types FROM (SELECT doc_id, type, count(*) AS c FROM ends GROUP BY ALL) GROUP BY doc_id) a USING (doc_id) JOIN (SELECT doc_id, string_agg(code || '=' || c, ',' ORDER BY code) AS codes FROM (SELECT doc_id, code, count(*) AS c FROM t GROUP BY ALL) GROUP BY doc_id) b USING (doc_id) GROUP BY doc_id"))
+def document_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",")
+    return merge.document_metadata(triples(spark, sf_dir), "none", "v1").select("source_document", "triple_count", text("entity_mention_distribution").alias("types"), text("predicate_distribution").alias("codes"))
+
+
 # ---- resolution
 
 NODES_SQL = "fr AS (SELECT name, type, count(*) AS freq FROM ends GROUP BY ALL)"
@@ -279,10 +314,11 @@ def similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH RECURSIVE {PAIRS}, u AS (SELECT a, b FROM pr UNION ALL SELECT b, a FROM pr UNION ALL SELECT a, a FROM pr UNION ALL SELECT b, b FROM pr),
 r(a, b) AS (SELECT DISTINCT a, b FROM u UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a)
-SELECT 'Event' AS type, min(b) AS cluster, a AS name FROM r GROUP BY a""")
+SELECT 'Event' AS type, cluster, name, row_number() OVER (PARTITION BY cluster ORDER BY freq DESC, name) AS member_place, dense_rank() OVER (ORDER BY size DESC, cluster) AS cluster_place
+FROM (SELECT min(b) AS cluster, a AS name, length(a)::BIGINT AS freq FROM r GROUP BY a) JOIN (SELECT cluster, count(*) AS size FROM (SELECT min(b) AS cluster FROM r GROUP BY a) GROUP BY cluster) USING (cluster)""")
 def entity_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = pair_names(spark, sf_dir).withColumn("freq", F.lit(1).cast("long"))
-    return resolve.review_clusters(nodes).select("type", "cluster", "name")
+    nodes = pair_names(spark, sf_dir).withColumn("freq", F.length("name").cast("long"))
+    return resolve.review_clusters(nodes).select("type", "cluster", "name", "member_place", "cluster_place")
 
 
 RESOLVED = """h AS (SELECT doc_id, seq, CASE WHEN s_name = 'flag_R' THEN 'flag_A' WHEN s_name = 'order_P' THEN 'order pending' ELSE s_name END AS s_name, s_type, code,
@@ -297,6 +333,12 @@ def resolve_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.apply_registry(found, registry).select("doc_id", "id", "s_name", "s_type", "code", "o_name", "o_type")
 
 
+@query(f"WITH {VARIANTS}, k AS (SELECT *, regexp_replace(trim(lower(name)), '\\s+', ' ', 'g') AS key FROM v), g AS ({ELECT.format(t='k')}), a AS (SELECT type, canonical, unnest(forms) AS alias FROM g) SELECT canonical, min(type) AS type, string_agg(DISTINCT alias, '|' ORDER BY alias) AS aliases, row_number() OVER (ORDER BY canonical) - 1 AS pos, 2 AS version FROM a WHERE alias <> canonical GROUP BY canonical")
+def registry_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grown = resolve.extend_registry(extractions.empty_registry(spark), resolve.trivial_merges(variants(spark, sf_dir)), "auto")
+    return grown.select("canonical", "type", F.array_join("aliases", "|").alias("aliases"), "pos", "version")
+
+
 # ---- schema state
 
 ORDER_SQL = "(VALUES ('geo', 2), ('trade', 1), ('behaviour', 3)) o(doc_id, doc_seq)"
@@ -319,7 +361,10 @@ def small_bridge(spark: SparkSession) -> DataFrame:
         FROM s JOIN (SELECT scope, key, string_agg(doc_id, ',' ORDER BY q) AS docs, arg_min(doc_id, q) AS first_seen FROM dd GROUP BY scope, key) USING (scope, key) GROUP BY scope, key"""
 )
 def master_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = schema_state.master(contributed(spark, sf_dir, small_bridge(spark)))
+    return listed_schema(schema_state.master(contributed(spark, sf_dir, small_bridge(spark))))
+
+
+def listed_schema(out: DataFrame) -> DataFrame:
     pairs = F.transform(F.array_sort(F.map_entries("owners")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
     return out.select("scope", "key", "count", F.array_join(pairs, ",").alias("owners"), F.array_join("docs", ",").alias("docs"), "first_seen")
 
@@ -330,12 +375,117 @@ def new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("owners", F.array_join("owners", ","))
 
 
+@query("SELECT * FROM (VALUES ('node', 'deaths', 'death'), ('node', 'death', 'death'), ('relation', 'time', 'timing'), ('relation', 'timing', 'timing'), ('node', 'killed', 'death'), ('node', 'note', 'remark'), ('node', 'remark', 'remark')) b(scope, alias, canonical)")
+def bridge_consolidation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decided = spark.createDataFrame([("node", "killed", "death"), ("node", "note", "remark"), ("node", "deaths", "ignored")], "scope string, alias string, canonical string")
+    return schema_state.consolidate(small_bridge(spark), decided)
+
+
+# ---- sources: files that the query writes into the shared folder, and reads
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder, whose files go when the driver's JVM ends."""
+    name = f"{graph.shared_dir(spark)}/strandline-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return name
+
+
+EXTRACTED = """SELECT s_name, s_type, left(s_name, 3) AS s_kind, code, CASE WHEN seq % 2 = 0 THEN 't' || (seq % 7) END AS time, o_name, o_type, CASE WHEN seq % 3 <> 2 THEN left(o_name, 3) END AS o_kind, CASE WHEN seq % 5 = 0 THEN '' ELSE concat_ws(' ', s_name, code, o_name) END AS evidence FROM t"""
+
+
+def extraction_files(spark: SparkSession, sf_dir: str) -> str:
+    """Chunk extractions: bags as properties, as attributes, or as a null beside attributes; predicates as objects or bare codes."""
+    found, seq = bagged(triples(spark, sf_dir)), F.col("seq")
+    bag = lambda c: F.to_json(F.col(c))
+    text = lambda c: F.to_json(F.struct(F.col(c).alias("v"))).substr(F.lit(6), F.length(F.to_json(F.struct(F.col(c).alias("v")))) - 6)
+    node = lambda p, more: F.concat(F.lit('{"name":'), text(f"{p}_name"), F.lit(',"type":'), text(f"{p}_type"), F.lit(","), more, F.lit("}"))
+    subject = node("s", F.concat(F.lit('"properties":'), bag("s_props"), F.lit(',"attributes":{"kind":"unread"}')))
+    given = F.when(seq % 3 == 0, F.concat(F.lit('"properties":'), bag("o_props"))).when(seq % 3 == 1, F.concat(F.lit('"attributes":'), bag("o_props"))).otherwise(F.concat(F.lit('"properties":null,"attributes":'), bag("o_props")))
+    predicate = F.when(seq % 2 == 0, F.concat(F.lit('{"code":'), text("code"), F.lit(',"properties":'), bag("p_props"), F.lit("}"))).otherwise(text("code"))
+    evidence = F.when(seq % 5 == 0, F.lit("")).otherwise(F.concat(F.lit(',"evidence":'), text("evidence")))
+    triple = F.concat(F.lit('{"subject":'), subject, F.lit(',"predicate":'), predicate, F.lit(',"object":'), node("o", given), evidence, F.lit("}"))
+    chunks = found.groupBy("doc_id", F.pmod(seq, F.lit(16)).alias("chunk")).agg(F.array_sort(F.collect_list(F.struct("seq", triple.alias("json")))).alias("t"))
+    files, path = chunks.select("doc_id", "chunk", F.concat(F.lit('{"triples":['), F.array_join(F.col("t.json"), ","), F.lit("]}")).alias("value")), scratch(spark)
+    files.repartition("doc_id", "chunk").write.partitionBy("doc_id", "chunk").text(path)
+    return path
+
+
+@query(on_triples(EXTRACTED))
+def extraction_files_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = extractions.read_extractions(spark, extraction_files(spark, sf_dir), "*.txt")
+    return rows.select("s_name", "s_type", F.element_at("s_props", "kind").alias("s_kind"), "code", F.element_at("p_props", "time").alias("time"), "o_name", "o_type", F.element_at("o_props", "kind").alias("o_kind"), "evidence")
+
+
+@query(on_triples("SELECT doc_id, seq, id, s_name, s_type, code, o_name, o_type, left(s_name, 3) AS s_kind, 't' || (seq % 7) AS time, 'v9' AS ontology_version, count(*) OVER (PARTITION BY doc_id) AS triple_count FROM t"))
+def triple_documents_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Triple documents written as JSON and read again, with their metadata."""
+    found, path = bagged(triples(spark, sf_dir)).withColumn("chunk_id", F.lit("1")), scratch(spark)
+    sinks.triple_documents(found, merge.document_metadata(found, "none", "v9")).repartition("doc_id").write.partitionBy("doc_id").text(path)
+    rows, about = extractions.read_triple_documents(spark, path)
+    joined = rows.join(about.select("doc_id", "ontology_version", "triple_count"), "doc_id")
+    return joined.select("doc_id", "seq", "id", "s_name", "s_type", "code", "o_name", "o_type", F.element_at("s_props", "kind").alias("s_kind"), F.element_at("p_props", "time").alias("time"), "ontology_version", "triple_count")
+
+
+@query("SELECT 'node' AS scope, unnest(list_concat([p_brand], list(DISTINCT p_type ORDER BY p_type))) AS alias, p_brand AS canonical FROM part GROUP BY p_brand UNION ALL SELECT 'relation', unnest(['timing', 'time', 'when']), 'timing'")
+def bridge_file_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entry = F.struct(F.array_sort(F.collect_set("p_type")).alias("aliases"), F.lit("string").alias("type"))
+    keys = table(spark, sf_dir, "part").groupBy("p_brand").agg(entry.alias("e")).agg(F.map_from_entries(F.collect_list(F.struct("p_brand", "e"))).alias("node_keys"))
+    relation = F.create_map(F.lit("timing"), F.struct(F.array(F.lit("time"), F.lit("when")).alias("aliases")))
+    path = scratch(spark)
+    keys.select(F.to_json(F.struct(F.lit(1).alias("version"), "node_keys", relation.alias("relation_keys")))).coalesce(1).write.text(path)
+    return extractions.read_bridge(spark, path).select("scope", "alias", "canonical")
+
+
+@query(f"WITH {VARIANTS}, k AS (SELECT *, regexp_replace(trim(lower(name)), '\\s+', ' ', 'g') AS key FROM v), g AS ({ELECT.format(t='k')}), a AS (SELECT type, canonical, unnest(forms) AS alias FROM g) SELECT canonical, CASE WHEN min(type) = 'Facility' THEN '' ELSE min(type) END AS type, string_agg(DISTINCT alias, '|' ORDER BY alias) AS aliases, min(type) = 'Facility' AS merge_any_type, row_number() OVER (ORDER BY canonical) - 1 AS pos FROM a WHERE alias <> canonical GROUP BY canonical")
+def registry_file_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registry written and read again; entries without a type keep none."""
+    grown = resolve.extend_registry(extractions.empty_registry(spark), resolve.trivial_merges(variants(spark, sf_dir)), "auto")
+    untyped, path = F.col("type") == "Facility", scratch(spark)
+    sinks.registry_json(grown.withColumn("merge_any_type", untyped).withColumn("type", F.when(~untyped, F.col("type")))).coalesce(1).write.text(path)
+    return extractions.read_registry(spark, path).select("canonical", "type", F.array_join("aliases", "|").alias("aliases"), "merge_any_type", "pos")
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{c}', {phase}, '{a}', '{b}')" for phase, of in ((1, ontology.RELATIONS), (2, ontology.INFERRED_RELATIONS)) for c, (xs, ys) in of.items() for a in xs for b in ys) + ") r(code, phase, s_type, o_type)")
+def ontology_file_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A vocabulary file written and read again: relations of both phases with their domains and ranges."""
+    parts = {f"relations_phase{k}": F.array(*[F.struct(F.lit(c).alias("code"), F.array(*map(F.lit, a)).alias("from"), F.array(*map(F.lit, b)).alias("to")) for c, (a, b) in of.items()]) for k, of in ((1, ontology.RELATIONS), (2, ontology.INFERRED_RELATIONS))}
+    path = scratch(spark)
+    spark.range(1).coalesce(1).select(F.to_json(F.struct(F.array(*map(F.lit, ontology.ENTITY_TYPES)).alias("entity_types"), *[c.alias(n) for n, c in parts.items()]))).write.text(path)
+    return ontology.read_ontology(spark, path)[1].select("code", "phase", F.explode("from").alias("s_type"), "to").select("code", "phase", "s_type", F.explode("to").alias("o_type"))
+
+
+@query(ORACLE_SQL["master_schema"])
+def streamed_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """master_schema() by streaming: documents arrive as files, batch by batch."""
+    order = F.create_map(F.lit("geo"), F.lit(2), F.lit("trade"), F.lit(1), F.lit("behaviour"), F.lit(3))
+    inbox, folder = scratch(spark), scratch(spark)
+    bagged(triples(spark, sf_dir)).withColumn("doc_seq", F.element_at(order, F.col("doc_id"))).repartition("doc_id").write.parquet(inbox)
+    arriving = spark.readStream.schema(spark.read.parquet(inbox).schema).option("maxFilesPerTrigger", 1).parquet(inbox)
+    state.start(arriving, folder, f"{folder}/checkpoint", small_bridge(spark)).awaitTermination()
+    return listed_schema(state.master_schema(spark, folder))
+
+
 # ---- relational graph
 
 
-@query(on_triples("""SELECT name, type, count(*) AS mentions, string_agg(DISTINCT doc_id, ',' ORDER BY doc_id) AS source_docs, left(name, 3) AS kind FROM sides GROUP BY name, type""", BAGS_SQL))
+@query(
+    on_triples(
+        """SELECT name, type, sum(c)::BIGINT AS mentions, string_agg(doc_id, ',' ORDER BY doc_seq) AS source_docs, arg_max(kind, doc_seq) AS kind, arg_max(held, doc_seq) AS held FROM
+        (SELECT left(name, 1) AS name, type, doc_id, doc_seq, count(*) AS c, arg_max(left(name, 3), 2 * seq + side) AS kind, arg_max(doc_id || seq || 'so'[side + 1], 2 * seq + side) AS held FROM sides JOIN """
+        + ORDER_SQL
+        + """ USING (doc_id) GROUP BY ALL) GROUP BY name, type""",
+        BAGS_SQL,
+    )
+)
 def node_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.merged_nodes(bagged(triples(spark, sf_dir))).select("name", "type", "mentions", F.array_join("source_docs", ",").alias("source_docs"), F.element_at("props", "kind").alias("kind"))
+    """Nodes are names' first letters here, so that one has many bags, of several documents."""
+    order = F.create_map(F.lit("geo"), F.lit(2), F.lit("trade"), F.lit(1), F.lit("behaviour"), F.lit(3))
+    found = bagged(triples(spark, sf_dir)).withColumn("doc_seq", F.element_at(order, F.col("doc_id")))
+    for p in ("s", "o"):
+        found = found.withColumn(f"{p}_props", P.overlay(F.col(f"{p}_props"), F.create_map(F.lit("held"), F.concat("doc_id", F.col("seq").cast("string"), F.lit(p))))).withColumn(f"{p}_name", F.substring(f"{p}_name", 1, 1))
+    return graph.merged_nodes(found).select("name", "type", "mentions", F.array_join("source_docs", ",").alias("source_docs"), F.element_at("props", "kind").alias("kind"), F.element_at("props", "held").alias("held"))
 
 
 @query(on_triples("SELECT s_name, s_type, code, o_name, o_type, count(*) AS triples, arg_max(id, doc_id || lpad(seq::VARCHAR, 12, '0')) AS id, max(doc_id) AS source_doc, 't' || (arg_max(seq, doc_id || lpad(seq::VARCHAR, 12, '0')) % 7) AS time FROM t GROUP BY s_name, s_type, code, o_name, o_type"))
@@ -360,14 +510,16 @@ def node_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.type_distribution(graph.nodes(graph.edges(triples(spark, sf_dir))))
 
 
-@query(on_triples("SELECT doc_id, st, " + ", ".join(f"count(*) FILTER (ot = '{t}') AS \"{t}\"" for t in ontology.ENTITY_TYPES) + " FROM e GROUP BY doc_id, st"))
+@query(on_triples("SELECT doc_id, o_type AS st, " + ", ".join(f"count(*) FILTER (s_type = '{t}') AS \"{t}\"" for t in ontology.ENTITY_TYPES) + f", count(*) FILTER (s_type NOT IN ({TYPES})) AS unlisted FROM x GROUP BY doc_id, o_type", MIXED))
 def type_pair_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.pivot_types(graph.flows(graph.edges(triples(spark, sf_dir))))
+    """Objects against subjects, as subjects have types that the vocabulary doesn't list."""
+    flow = graph.flows(graph.edges(mixed(spark, sf_dir)))
+    return graph.pivot_types(flow.select("doc_id", F.col("ot").alias("st"), F.col("st").alias("ot"), "n"))
 
 
-@query(on_triples("SELECT doc_id, st, " + ", ".join(f"count(*) FILTER (code = '{c}') AS \"{c}\"" for c in [*ontology.RELATIONS, *ontology.INFERRED_RELATIONS]) + " FROM e GROUP BY doc_id, st"))
+@query(on_triples("SELECT doc_id, s_type AS st, " + ", ".join(f"count(*) FILTER (code = '{c}') AS \"{c}\"" for c in [*ontology.RELATIONS, *ontology.INFERRED_RELATIONS]) + f", count(*) FILTER (code NOT IN ({CODES})) AS unlisted FROM x GROUP BY doc_id, s_type", MIXED))
 def pred_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.pivot_predicates(graph.flows(graph.edges(triples(spark, sf_dir))))
+    return graph.pivot_predicates(graph.flows(graph.edges(mixed(spark, sf_dir))))
 
 
 @query(
@@ -409,6 +561,29 @@ def top_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.top_cells(graph.flows(graph.edges(triples(spark, sf_dir))))
 
 
+@query(
+    on_triples(
+        f"""SELECT a.doc_id, top_type, top_type_n, top_code, top_code_n, causal, round(causal / edges, 6) AS causal_share FROM (SELECT doc_id, first(type ORDER BY c DESC, f) AS top_type, max(c) AS top_type_n FROM (SELECT doc_id, type, count(*) AS c, min(appears) AS f FROM n GROUP BY ALL) GROUP BY doc_id) a
+        JOIN (SELECT doc_id, first(code ORDER BY c DESC, f) AS top_code, max(c) AS top_code_n FROM (SELECT doc_id, code, count(*) AS c, min(seq) AS f FROM e GROUP BY ALL) GROUP BY doc_id) b USING (doc_id) JOIN (SELECT doc_id, count(*) AS edges, count(*) FILTER (code IN ({CAUSAL})) AS causal FROM e GROUP BY doc_id) c USING (doc_id)"""
+    )
+)
+def interpretation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edge = graph.edges(triples(spark, sf_dir))
+    return graph.interpretation(edge, graph.nodes(edge)).withColumn("causal_share", F.round("causal_share", 6))
+
+
+@query(on_triples("SELECT doc_id, name AS id, type, deg, CASE type " + " ".join(f"WHEN '{t}' THEN '{c}'" for t, c in ontology.COLOURS.items()) + f" ELSE '{ontology.DEFAULT_COLOUR}' END AS color FROM n"))
+def force_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edge = graph.edges(triples(spark, sf_dir))
+    return graph.force_graph(edge, graph.nodes(edge))[0]
+
+
+@query(on_triples("SELECT doc_id, src AS source, dst AS target, code FROM e"))
+def force_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edge = graph.edges(triples(spark, sf_dir))
+    return graph.force_graph(edge, graph.nodes(edge))[1]
+
+
 # ---- checks and extensions
 
 
@@ -427,9 +602,48 @@ def enum_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.bad_values(bagged(triples(spark, sf_dir))).groupBy("doc_id", "type", "attr", "value").agg(F.count("*").alias("n"))
 
 
-@query(on_triples("SELECT doc_id, CASE WHEN type = 'Event' AND length(name) > 8 THEN 'PrimaryEvent' ELSE type END AS subtype, count(*) AS n FROM sides GROUP BY ALL", BAGS_SQL))
+KINDS = ["primary", "secondary", "cascading", "nth", "state", "human", "property", "economic", "service", "infra", "environmental"]
+NOTED_SQL = f"sd AS (SELECT *, [{QUOTED(KINDS)}][((seq + side) % 11 + 1)::INT] AS kind FROM sides)"
+
+
+def noted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Triples whose nodes have one of KINDS as order, category, note and disaster type."""
+    found = triples(spark, sf_dir)
+    for p, side in (("s", 0), ("o", 1)):
+        kind = F.element_at(F.array(*map(F.lit, KINDS)), ((F.col("seq") + side) % 11 + 1).cast("int"))
+        found = found.withColumn(f"{p}_props", F.create_map(F.lit("order"), kind, F.lit("category"), kind, F.lit("note"), F.when(kind != "nth", kind), F.lit("disasterType"), F.when(kind == "human", "social_fire").otherwise(kind)))
+    return found
+
+
+@query(
+    on_triples(
+        "SELECT doc_id, CASE WHEN type = 'Event' THEN CASE kind WHEN 'primary' THEN 'PrimaryEvent' WHEN 'secondary' THEN 'SecondaryEvent' WHEN 'cascading' THEN 'CascadingEvent' WHEN 'nth' THEN 'CascadingEvent' ELSE 'Event' END WHEN type = 'Damage' THEN CASE WHEN kind = 'human' THEN 'HumanDamage' WHEN kind IN ('property', 'economic') THEN 'PropertyDamage' WHEN kind IN ('service', 'infra') THEN 'ServiceDamage' ELSE 'Damage' END ELSE type END AS subtype, count(*) AS n FROM sd GROUP BY ALL",
+        f"{BAGS_SQL}, {NOTED_SQL}",
+    )
+)
 def subtype_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.subtype_view(bagged(triples(spark, sf_dir))).groupBy("doc_id", "subtype").agg(F.count("*").alias("n"))
+    return checks.subtype_view(noted(spark, sf_dir)).groupBy("doc_id", "subtype").agg(F.count("*").alias("n"))
+
+
+@query(on_triples(f"SELECT doc_id, name, type, kind AS value, count(*) AS n FROM sd WHERE kind <> 'human' AND kind NOT IN ({QUOTED(ontology.DISASTER_TYPES)}) GROUP BY ALL", f"{BAGS_SQL}, {NOTED_SQL}"))
+def disaster_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.disaster_types(noted(spark, sf_dir)).groupBy("doc_id", "name", "type", "value").agg(F.count("*").alias("n"))
+
+
+@query(on_triples("SELECT doc_id, name, CASE WHEN type = 'Event' THEN 'Other' ELSE type END AS type, count(*) AS n FROM (SELECT doc_id, type, kind, CASE WHEN (2 * seq + side) % 29 = 0 THEN 'unknown' ELSE name END AS name FROM sd) WHERE type = 'Event' AND kind = 'nth' OR name = 'unknown' GROUP BY ALL", f"{BAGS_SQL}, {NOTED_SQL}"))
+def other_without_note(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events pass for Other here, and every 29th node for an unknown one."""
+    found = noted(spark, sf_dir)
+    for p, side in (("s", 0), ("o", 1)):
+        found = found.withColumn(f"{p}_type", F.when(F.col(f"{p}_type") == "Event", "Other").otherwise(F.col(f"{p}_type"))).withColumn(f"{p}_name", F.when((2 * F.col("seq") + side) % 29 == 0, "unknown").otherwise(F.col(f"{p}_name")))
+    return checks.other_without_note(found).groupBy("doc_id", "name", "type").agg(F.count("*").alias("n"))
+
+
+@query(on_triples("SELECT doc_id, src AS name, count(DISTINCT dst) AS damages FROM e WHERE code = 'CAUSES' AND ot = 'Damage' GROUP BY ALL"))
+def amplifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Causes pass for amplifying exposures here."""
+    edge = graph.edges(triples(spark, sf_dir))
+    return predict.amplifiers(edge.withColumn("code", F.when(F.col("code") == "CAUSES", "AMPLIFIES").otherwise(F.col("code"))))
 
 
 @query("SELECT user_id, event_id AS src, dst, 'PRECEDES' AS code, ts < gap AS strict FROM (SELECT user_id, event_id, ts, lead(event_id) OVER w AS dst, lead(ts) OVER w AS gap FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE dst IS NOT NULL")
@@ -454,9 +668,11 @@ def risk_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict.risk_factors(graph.edges(triples(spark, sf_dir)))
 
 
-@query(on_triples("SELECT code, CASE WHEN seq % 2 = 0 THEN 'high' ELSE 'low' END AS effectiveness, count(*) AS n FROM t WHERE code IN ('TRIGGERS', 'CAUSES') GROUP BY ALL"))
+@query(on_triples("SELECT CASE code WHEN 'TRIGGERS' THEN 'PREVENTS' ELSE 'MITIGATES' END AS code, CASE WHEN seq % 2 = 0 THEN 'high' ELSE 'low' END AS effectiveness, count(*) AS n FROM t WHERE code IN ('TRIGGERS', 'CAUSES') GROUP BY ALL"))
 def effectiveness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return predict.effectiveness(bagged(triples(spark, sf_dir)), ("TRIGGERS", "CAUSES"))
+    """Two causal codes pass for two of the response."""
+    found = bagged(triples(spark, sf_dir))
+    return predict.effectiveness(found.withColumn("code", F.when(F.col("code") == "TRIGGERS", "PREVENTS").when(F.col("code") == "CAUSES", "MITIGATES").otherwise(F.col("code"))))
 
 
 # ---- iterative graph
@@ -485,6 +701,12 @@ def pagerank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iterative.pagerank(edge, node).select("doc_id", "name", F.round("pagerank", 6).alias("pagerank"))
 
 
+@query(ORACLE_SQL["pagerank"])
+def pagerank_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edge, node = graph_of(spark, sf_dir)
+    return iterative.pagerank_rounds(edge, node).select("doc_id", "name", F.round("pagerank", 6).alias("pagerank"))
+
+
 PATHS_SQL = f"""ca AS (SELECT DISTINCT doc_id, src, dst FROM e WHERE code IN ({CAUSAL}) AND src <> dst),
 nx AS (SELECT doc_id, name, deg, {AXIS_SQL('type')} AS axis, EXISTS (FROM ca WHERE ca.doc_id = n.doc_id AND ca.src = n.name) AS leads FROM n),
 pa(doc_id, last, path, score, axis, leads) AS (
@@ -533,6 +755,13 @@ def layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "name", "layer", "weight", "deg", "slot", "in_layer")
 
 
+@query(on_triples("SELECT w.doc_id, src, dst, weight, max_layer::BIGINT AS max_layer FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY weight DESC, src, dst) AS rn FROM (SELECT doc_id, src, dst, count(*) AS weight FROM up GROUP BY ALL)) w JOIN (SELECT doc_id, max(layer) AS max_layer FROM ll GROUP BY doc_id) m USING (doc_id) WHERE rn = 1", LAYERS_SQL, recursive=True))
+def trunk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edge, node = graph_of(spark, sf_dir)
+    placed, links = iterative.connectivity(edge, node, paths_of(edge, node))
+    return iterative.trunk(links, placed)
+
+
 @query(on_triples(f"SELECT bp.doc_id, count(*) AS paths, count(*) FILTER (({AXIS_SQL('a.type')}) = 'Hazard' AND ({AXIS_SQL('b.type')}) = 'Damage') AS complete FROM bp JOIN n a ON a.doc_id = bp.doc_id AND a.name = path[1] JOIN n b ON b.doc_id = bp.doc_id AND b.name = path[-1] GROUP BY bp.doc_id", PATHS_SQL, recursive=True))
 def complete_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     edge, node = graph_of(spark, sf_dir)
@@ -540,30 +769,42 @@ def complete_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vote(k: int) -> str:
-    return f"l{k} AS (SELECT doc_id, name, label FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, name ORDER BY c DESC, label) AS rn FROM (SELECT ln.doc_id, ln.name, l.label, count(*) AS c FROM ln JOIN l{k - 1} l ON l.doc_id = ln.doc_id AND l.name = ln.other GROUP BY ALL)) WHERE rn = 1)"
+    return f"l{k} AS MATERIALIZED (SELECT doc_id, name, label FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, name ORDER BY c DESC, label) AS rn FROM (SELECT ln.doc_id, ln.name, l.label, count(*) AS c FROM ln JOIN l{k - 1} l ON l.doc_id = ln.doc_id AND l.name = ln.other GROUP BY ALL)) WHERE rn = 1)"
 
 
-LABELS_SQL = ", ".join(["ln AS (SELECT doc_id, src AS name, dst AS other FROM e WHERE src <> dst UNION SELECT doc_id, dst, src FROM e WHERE src <> dst UNION SELECT doc_id, name, name FROM n)", "l0 AS (SELECT doc_id, name, name AS label FROM n)", vote(1), vote(2), vote(3)])
+LABELS_SQL = ", ".join(["ln AS (SELECT doc_id, src AS name, dst AS other FROM e WHERE src <> dst UNION SELECT doc_id, dst, src FROM e WHERE src <> dst UNION SELECT doc_id, name, name FROM n)", "l0 AS (SELECT doc_id, name, name AS label FROM n)", *[vote(k) for k in range(1, iterative.LPA_ROUNDS + 1)]])
+SETTLED = f"l{iterative.LPA_ROUNDS}"
 
 
-@query(on_triples("SELECT doc_id, name, label FROM l3", LABELS_SQL))
+@query(on_triples(f"SELECT doc_id, name, label FROM {SETTLED}", LABELS_SQL))
 def communities_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iterative.communities_in_step(*graph_of(spark, sf_dir))
 
 
-@query()
-def communities_async(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return iterative.communities_in_order(*graph_of(spark, sf_dir))
+@query(on_triples(f"SELECT doc_id, count(*) AS communities, max(c) AS largest, count(*) FILTER (c = 1) AS singletons, round(count(*) FILTER (c = 1) / count(*), 6) AS singleton_share FROM (SELECT doc_id, label, count(*) AS c FROM {SETTLED} GROUP BY ALL) GROUP BY doc_id", LABELS_SQL))
+def fragmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = iterative.communities_in_step(*graph_of(spark, sf_dir))
+    return graph.fragmentation(labels, "label").withColumn("singleton_share", F.round("singleton_share", 6))
 
 
 @query(
     on_triples(
-        """SELECT g.doc_id, g.label AS community, size, m.top_members, k.top_types FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY size DESC, label) AS place FROM (SELECT doc_id, label, count(*) AS size FROM l3 GROUP BY doc_id, label) QUALIFY place <= 15) g
-        JOIN (SELECT doc_id, label, string_agg(name, ', ' ORDER BY r) AS top_members FROM (SELECT l3.doc_id, label, name, row_number() OVER (PARTITION BY l3.doc_id, label ORDER BY deg DESC, name) AS r FROM l3 JOIN n USING (doc_id, name)) WHERE r <= 6 GROUP BY ALL) m USING (doc_id, label)
-        JOIN (SELECT doc_id, label, string_agg(type, ', ' ORDER BY r) AS top_types FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, label ORDER BY c DESC, type) AS r FROM (SELECT doc_id, label, type, count(*) AS c FROM l3 JOIN n USING (doc_id, name) GROUP BY ALL)) WHERE r <= 3 GROUP BY ALL) k USING (doc_id, label)""",
-        LABELS_SQL,
+        f"SELECT a.doc_id, nodes, types, edges, predicates, communities, coalesce(major_paths, 0) AS major_paths FROM (SELECT doc_id, count(*) AS nodes, count(DISTINCT type) AS types FROM n GROUP BY doc_id) a JOIN (SELECT doc_id, count(*) AS edges, count(DISTINCT code) AS predicates FROM e GROUP BY doc_id) b USING (doc_id) JOIN (SELECT doc_id, count(DISTINCT label) AS communities FROM {SETTLED} GROUP BY doc_id) c USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS major_paths FROM bp GROUP BY doc_id) p USING (doc_id)",
+        f"{LABELS_SQL}, {PATHS_SQL}",
+        recursive=True,
     )
 )
+def summary_row(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edge, node = graph_of(spark, sf_dir)
+    return iterative.summary(edge, node, iterative.communities_in_step(edge, node), "label", paths_of(edge, node))
+
+
+@query()
+def communities_async(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iterative.communities_in_order(*graph_of(spark, sf_dir))
+
+
+@query()
 def community_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     edge, node = graph_of(spark, sf_dir)
     return iterative.community_table(iterative.communities_in_order(edge, node), node, "community")
@@ -575,11 +816,18 @@ def centrality_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     return iterative.central(node, iterative.pagerank(edge, node)).withColumn("pagerank", F.round("pagerank", 6))
 
 
+def nearest(k: int) -> str:
+    return f"w{k} AS MATERIALIZED (SELECT doc_id, name, min(least(w.label, coalesce(o.label, w.label))) AS label FROM w{k - 1} w LEFT JOIN (SELECT li.doc_id, li.name, min(label) AS label FROM li JOIN w{k - 1} x ON x.doc_id = li.doc_id AND x.name = li.other GROUP BY ALL) o USING (doc_id, name) GROUP BY ALL)"
+
+
+#: Labels reach as far as there are rounds; no two nodes of a component are so many edges apart here.
+REACHED = 16
+
+
 @query(
     on_triples(
-        "SELECT doc_id, name, min(other) AS component FROM rc GROUP BY ALL",
-        "li AS (SELECT doc_id, src AS name, dst AS other FROM e UNION SELECT doc_id, dst, src FROM e), rc(doc_id, name, other) AS (SELECT doc_id, name, name FROM n WHERE doc_id <> 'geo' UNION SELECT rc.doc_id, rc.name, li.other FROM rc JOIN li ON li.doc_id = rc.doc_id AND li.name = rc.other)",
-        recursive=True,
+        f"SELECT doc_id, name, label AS component FROM w{REACHED}",
+        ", ".join(["li AS (SELECT doc_id, src AS name, dst AS other FROM e UNION SELECT doc_id, dst, src FROM e)", "w0 AS (SELECT doc_id, name, name AS label FROM n)", *[nearest(k) for k in range(1, REACHED + 1)]]),
     )
 )
 def weak_components(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -606,6 +854,25 @@ def edge_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return triples(spark, sf_dir).select("id", "doc_id", line.alias("line"))
 
 
+NODE_LINES = f"""nd AS (SELECT doc_id, name, type, min(2 * seq + side) AS ord FROM sides GROUP BY ALL),
+nl AS (SELECT doc_id, 1 AS part, ord, 'MERGE (n:' || {LABEL} || ' {{name: ' || {LIT('name')} || '}}) SET n += {{deaths: ''' || length(name) || ''', kind: ' || {LIT('left(name, 3)')} || CASE WHEN type = 'Event' THEN ', order: ''' || CASE WHEN length(name) > 8 THEN 'primary' ELSE 'late' END || '''' ELSE '' END || ', name: ' || {LIT('name')} || ', ekType: ''' || type || '''}}, n.sourceDocs = CASE WHEN ''' || doc_id || ''' IN coalesce(n.sourceDocs, []) THEN n.sourceDocs ELSE coalesce(n.sourceDocs, []) + ''' || doc_id || ''' END;' AS line FROM nd),
+el AS (SELECT doc_id, 2 AS part, seq AS ord, 'MATCH (a:' || s_type || ' {{name: ' || {LIT('s_name')} || '}}), (b:' || o_type || ' {{name: ' || {LIT('o_name')} || '}}) MERGE (a)-[r:' || code || ']->(b) SET r += {{effectiveness: ''' || CASE WHEN seq % 2 = 0 THEN 'high' ELSE 'low' END || ''', time: ''t' || seq % 7 || ''', evidence: ' || {LIT("s_name || ' ' || code || ' ' || o_name")} || ', sourceDoc: ''' || doc_id || ''', tripleId: ' || {LIT('id')} || '}};' AS line FROM t),
+hl AS (SELECT doc_id, 0 AS part, 0 AS ord, '// Property graph of ' || doc_id AS line FROM t GROUP BY doc_id UNION ALL SELECT doc_id, 0, 1, '// nodes=' || n || ' relationships=' || m FROM (SELECT doc_id, count(*) AS n FROM nd GROUP BY doc_id) JOIN (SELECT doc_id, count(*) AS m FROM t GROUP BY doc_id) USING (doc_id))""".replace("{{", "{").replace("}}", "}")
+
+
+@query(on_triples("SELECT doc_id, part::INT AS part, ord::BIGINT AS ord, line FROM (SELECT * FROM hl UNION ALL SELECT * FROM nl UNION ALL SELECT * FROM el)", f"{BAGS_SQL}, {NODE_LINES}"))
+def graph_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statement file of each document; relations already have a property that the file adds."""
+    every, out = bagged(triples(spark, sf_dir)), None
+    every = every.withColumn("p_props", P.overlay(F.create_map(F.lit("effectiveness"), F.element_at("p_props", "effectiveness"), F.lit("time"), F.element_at("p_props", "time")), F.create_map(F.lit("evidence"), F.lit("to be replaced"))))
+    for doc in ("geo", "trade", "behaviour"):
+        own = every.filter(F.col("doc_id") == doc)
+        first = merge.sides(own).groupBy("name", "type").agg(F.min(2 * F.col("seq") + F.col("side")).alias("seq"))
+        lines = sinks.graph_statements(graph.merged_nodes(own).join(first, ["name", "type"]), own, doc).withColumn("doc_id", F.lit(doc))
+        out = lines if out is None else out.unionByName(lines)
+    return out.select("doc_id", "part", "ord", "line")
+
+
 @query(on_triples("SELECT s_type, s_name, code, o_type, o_name, count(*) AS n FROM t GROUP BY ALL"))
 def statement_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.parse_statements(edge_statements(spark, sf_dir), "line").groupBy("s_type", "s_name", "code", "o_type", "o_name").agg(F.count("*").alias("n"))
@@ -613,15 +880,7 @@ def statement_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def dashboard_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edge, node = graph_of(spark, sf_dir)
-    flow = graph.flows(edge)
-    views = {"types": graph.type_distribution(node), "pairs": graph.type_pairs(flow), "predicates": graph.type_predicates(flow), "flows": graph.sankey(flow), "stats": graph.stats(edge, node), "top": graph.top_cells(flow), "central": iterative.central(node, iterative.pagerank(edge, node))}
-    parts = None
-    for name, df in views.items():
-        one = df.agg(F.to_json(F.array_sort(F.collect_list(F.struct(*df.columns)))).alias("rows")).select(F.lit(name).alias("view"), F.coalesce("rows", F.lit("[]")).alias("rows"))
-        parts = one if parts is None else parts.union(one)
-    payload = parts.agg(F.array_sort(F.collect_list(F.concat(F.lit('"'), "view", F.lit('":'), "rows"))).alias("v")).select(F.concat(F.lit("{"), F.array_join("v", ","), F.lit("}")).alias("json"))
-    return sinks.dashboard(payload, "Triples & graph", "index.html")
+    return sinks.dashboard(dashboard.payload(dashboard.views(triples(spark, sf_dir))), "Triples & graph", "index.html")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.triples import node_props, pred_code, pred_props
+from ..functions.triples import document_label, node_bag, pred_code, pred_props
 from .documents import chunk_id
 
-#: Properties and predicates stay JSON text, so that free keys never become columns.
-NODE = "struct<name:string,type:string,properties:string,attributes:string>"
-EXTRACTION = f"triples array<struct<subject:{NODE},predicate:string,object:{NODE},evidence:string>>"
+#: Nodes and predicates stay JSON text, so that free keys never become columns, and a null key differs from none.
+TRIPLE = "struct<id:string,subject:string,predicate:string,object:string,evidence:string,source_chunk:string>"
+EXTRACTION = f"triples array<{TRIPLE}>"
 
 
 def read_extractions(spark: SparkSession, path: str, glob: str = "meta_*.json") -> tuple[DataFrame, DataFrame]:
@@ -23,21 +23,33 @@ def read_extractions(spark: SparkSession, path: str, glob: str = "meta_*.json")
 
 def flatten(files: DataFrame) -> DataFrame:
     rows = files.select("file", chunk_id(F.col("file")).alias("chunk_id"), F.posexplode("j.triples").alias("pos", "t"))
-    side = lambda r: node_props(F.col(f"t.{r}.properties"), F.col(f"t.{r}.attributes"))
-    return rows.select(
-        "file",
-        "chunk_id",
-        F.col("pos").cast("long").alias("pos"),
-        F.col("t.subject.name").alias("s_name"),
-        F.col("t.subject.type").alias("s_type"),
-        side("subject").alias("s_props"),
-        pred_code(F.col("t.predicate")).alias("code"),
-        pred_props(F.col("t.predicate")).alias("p_props"),
-        F.col("t.object.name").alias("o_name"),
-        F.col("t.object.type").alias("o_type"),
-        side("object").alias("o_props"),
-        F.coalesce("t.evidence", F.lit("")).alias("evidence"),
-    )
+    return rows.select("file", "chunk_id", F.col("pos").cast("long").alias("pos"), *_of_triple(F.col("t")))
+
+
+def _of_triple(t: Column) -> list[Column]:
+    """The columns of a triple whose nodes and predicate are JSON text."""
+    part = lambda r, k: F.get_json_object(t[r], f"$.{k}")
+    return [
+        part("subject", "name").alias("s_name"),
+        part("subject", "type").alias("s_type"),
+        node_bag(t["subject"]).alias("s_props"),
+        pred_code(t["predicate"]).alias("code"),
+        pred_props(t["predicate"]).alias("p_props"),
+        part("object", "name").alias("o_name"),
+        part("object", "type").alias("o_type"),
+        node_bag(t["object"]).alias("o_props"),
+        F.coalesce(t["evidence"], F.lit("")).alias("evidence"),
+    ]
+
+
+def read_triple_documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Triples (doc_id, seq, id and the triple columns) and metadata (doc_id, source_document, ontology_version, triple_count) of
+    triple documents: files of {"metadata": ..., "triples": [...]}. A document's id is its source, or else its file's name."""
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.from_json("value", f"metadata struct<source_document:string,ontology_version:string,triple_count:long>, triples array<{TRIPLE}>").alias("j"))
+    named = files.withColumn("doc_id", document_label(F.lit(None).cast("string"), F.nullif("j.metadata.source_document", F.lit("")), F.col("file")))
+    rows = named.select("doc_id", F.posexplode("j.triples").alias("pos", "t"))
+    triples = rows.select("doc_id", (F.col("pos") + 1).cast("long").alias("seq"), F.col("t.id").alias("id"), *_of_triple(F.col("t")), F.col("t.source_chunk").alias("chunk_id"))
+    return triples, named.select("doc_id", "j.metadata.*")
 
 
 def read_bridge(spark: SparkSession, path: str) -> DataFrame:
@@ -63,11 +75,12 @@ def alias_map(bridge: DataFrame, scope: str | None) -> dict[str, str]:
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
-    """canonical, type, aliases, note, merge_any_type, pos (order in the file)."""
+    """canonical, type ('' where the entry has none: it then matches nodes of no type, unless it merges any), aliases, note,
+    merge_any_type, pos (order in the file)."""
     entity = "struct<type:string,aliases:array<string>,note:string,merge_any_type:boolean>"
     raw = spark.read.text(path, wholetext=True).select(F.from_json("value", f"version int, entities map<string,{entity}>").alias("r"))
     return raw.select("r.version", F.posexplode("r.entities").alias("pos", "canonical", "e")).select(
-        "canonical", F.coalesce("e.type", F.lit("Other")).alias("type"), F.coalesce("e.aliases", F.array().cast("array<string>")).alias("aliases"), "e.note", F.coalesce("e.merge_any_type", F.lit(False)).alias("merge_any_type"), F.col("pos").cast("long").alias("pos"), "version"
+        "canonical", F.coalesce("e.type", F.lit("")).alias("type"), F.coalesce("e.aliases", F.array().cast("array<string>")).alias("aliases"), "e.note", F.coalesce("e.merge_any_type", F.lit(False)).alias("merge_any_type"), F.col("pos").cast("long").alias("pos"), "version"
     )
 
 

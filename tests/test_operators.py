@@ -24,9 +24,9 @@ def test_chunk_windows(spark, n, density, spans):
 def test_chunk_limits_and_text(spark):
     assert chunking.plan(doc(spark, 100), F.lit(1)).count() == 40
     rows = chunking.chunks(spark.createDataFrame([(1, "a\r\nb\rc\nd")], "doc_id int, text string"), F.lit(2), overlap=1).orderBy("chunk_no").collect()
-    assert [(r["text"], r["file"]) for r in rows] == [("a\nb\nc", "chunk_00.txt"), ("c\nd", "chunk_01.txt")]
+    assert [(r["text"], r["file"]) for r in rows] == [("a\nb\nc\n", "chunk_00.txt"), ("c\nd", "chunk_01.txt")]
     found = chunking.extract_triples(chunking.chunks(doc(spark, 2), F.lit(9)), lambda t: [{"n": len(t)}]).first()
-    assert json.loads(found["json"]) == {"triples": [{"n": 9}]}
+    assert json.loads(found["json"]) == {"triples": [{"n": 10}]}
 
 
 def test_read_documents(spark, tmp_path):
@@ -73,6 +73,7 @@ def test_merge(spark, extracted):
     renamed = merge.canonical_keys(triples, {"deaths": "death"}, {"time": "timing"})
     first = renamed.filter("seq = 1").first()
     assert first["o_props"] == {"death": "3", "order": "primary"} and first["p_props"] == {"timing": "t1"}
+    assert triples.filter("seq = 2").first()["s_props"] == {}  # a null bag is a bag
     schema = {(r["owner"], r["key"]): r["cnt"] for r in merge.emergent_nodes(renamed).collect()}
     assert schema["Event", "death"] == 1 and schema["Damage", None] == 0
     assert merge.document_metadata(triples, "d", "v1").first()["triple_count"] == 3
