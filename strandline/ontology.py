@@ -17,11 +17,11 @@ AXIS_TYPES = {
     "Other": ["Other"],
 }
 _HAZARDS, _PLACES, _ACTOR = AXIS_TYPES["Hazard"], AXIS_TYPES["Exposure"], ["ResponseActor"]
-#: code -> (types of the subject, types of the object), phase 1
+# Code -> (types of the subject, types of the object), phase 1 and phase 2.
 RELATIONS = {
     "TRIGGERS": (_HAZARDS, ["Event"]),
     "AFFECTS": (_HAZARDS, _PLACES),
-    "INCREASES_RISK_OF": (_HAZARDS, ["Event"]),
+    "INCREASES_RISK_OF": (["RiskFactor", "NaturalHazard", "ManmadeHazard"], ["Event"]),
     "PRECONDITIONS": (["Context", "RiskFactor"], _HAZARDS),
     "COMPOUNDS": (_HAZARDS, _HAZARDS),
     "DERIVES_FROM": (_HAZARDS, _HAZARDS),
@@ -50,9 +50,11 @@ RELATIONS = {
     "GUIDED_BY": (["ResponseAction"], ["Other"]),
 }
 INFERRED_RELATIONS = {"PRECEDES": (["Event", "ResponseAction"], ["Event", "ResponseAction"])}
+# Sets of codes.
 CAUSAL = ["TRIGGERS", "INCREASES_RISK_OF", "TRIGGERS_SECONDARY", "CASCADES_INTO", "CAUSES", "AMPLIFIES", "COMPOUNDS", "DERIVES_FROM", "MODIFIES_RISK_OF", "CONCURRENT_WITH", "PRECONDITIONS", "AFFECTS"]
 CASCADE = ["TRIGGERS", "CASCADES_INTO", "TRIGGERS_SECONDARY"]
 SAME_CHUNK = ["CASCADES_INTO", "TRIGGERS_SECONDARY", "CONCURRENT_WITH"]
+# Required attributes, and the values that attributes may have.
 REQUIRED = {"NaturalHazard": ["origin"], "ManmadeHazard": ["origin"], "Event": ["order"], "Damage": ["category"], "ResponseAction": ["phase"]}
 ENUMS = {
     ("NaturalHazard", "origin"): ["meteorological", "geological", "hydrological", "biological", "climatological"],
@@ -69,13 +71,15 @@ ENUMS = {
     ("Resilience", "kind"): ["absorbing", "buffering", "recovery"],
     ("Context", "subkind"): ["DateTime", "Location", "Weather", "Metric", "Threshold"],
 }
+# Disaster types.
 DISASTER_TYPES = ["natural_storm", "natural_quake", "natural_landslide", "natural_climate", "natural_epidemic", "social_fire", "social_collapse", "social_transport", "social_crowd", "social_chemical", "social_infra", "social_cyber"]
+# Colours.
 COLOURS = {
     "NaturalHazard": "#e15759", "ManmadeHazard": "#b4453a", "RiskFactor": "#ff9da7", "Region": "#4e79a7", "Facility": "#76b7b2", "Population": "#59a14f", "Event": "#f28e2b",
     "Damage": "#9c27b0", "ResponseAction": "#edc948", "ResponseActor": "#bab0ac", "Resilience": "#86bcb6", "Context": "#a0cbe8", "Other": "#cccccc",
 }
 DEFAULT_COLOUR = "#999"
-#: lines of a chunk by density
+# Lines of a chunk by density, and the names of densities.
 DENSITY_LINES = {"high": 450, "medium": 900, "low": 1700}
 DENSITY_NAMES = {"high": "high", "medium": "medium", "low": "low", "고밀": "high", "중밀": "medium", "저밀": "low"}
 

@@ -18,6 +18,11 @@ from .merge import dedup_first, sides, with_ids
 Fold = Callable[[Column], Column]
 
 
+def as_is(s: Column) -> Column:
+    """The fold of a name that is folded already."""
+    return s
+
+
 def node_frequency(triples: DataFrame) -> DataFrame:
     rows = sides(triples).filter(F.length("name") > 0)
     return rows.groupBy("name", F.coalesce("type", F.lit("Other")).alias("type")).agg(F.count("*").alias("freq"))
@@ -85,14 +90,16 @@ def cross_type(nodes: DataFrame, registry: DataFrame | None = None, fold: Fold =
     return found
 
 
-def similar_pairs(names: DataFrame, least: float = 0.45, fold: Fold = folded, gram: int = 3) -> DataFrame:
+def similar_pairs(names: DataFrame, least: float = 0.45, fold: Fold = folded, gram: int = 3, stars: bool = False) -> DataFrame:
     """Pairs (type, a, b), a < b, of names of one type that have one loose key, contain one another, or share tokens
-    (Jaccard >= least). names: name, type.
+    (Jaccard >= least). names: name, type. stars: only pairs that connect what is connected; of names with one loose key
+    each is paired with the first one, so that a key that many names share costs as many rows as names.
 
     The OR of three conditions is a union of equi-joins: on loose keys; on a rarest-first prefix of the tokens
     (a pair with enough similarity shares one of the first n - ceil(least n) + 1); and for containment on the
     shorter key's rarest gram of letters (one of its first letters where it is shorter), verified afterwards."""
-    keyed = names.select("type", "name", loose_key(F.col("name"), fold).alias("key"), tokens(F.col("name"), fold).alias("toks")).distinct()
+    once = names.select("type", "name").distinct().withColumn("folded", fold(F.col("name")))
+    keyed = once.select("type", "name", loose_key(F.col("folded"), as_is).alias("key"), tokens(F.col("folded"), as_is).alias("toks"))
     # tokens
     long = keyed.select("type", "name", F.size("toks").alias("n"), F.explode("toks").alias("token"))
     seen = long.groupBy("type", "token").agg(F.count("*").alias("df")).filter("df > 1")
@@ -112,10 +119,16 @@ def similar_pairs(names: DataFrame, least: float = 0.45, fold: Fold = folded, gr
     small = kinds.select("type", F.col("key").alias("outer"), F.explode(cut(F.col("key"))).alias("key")).join(tiny, ["type", "key"]).filter("key <> outer")
     held = inner.select("type", "key", "outer").union(small.select("type", "key", "outer"))
     named = keyed.select("type", "key", "name")
+    if stars:  # names of one key are linked among themselves: one of each is enough
+        named = named.groupBy("type", "key").agg(F.min("name").alias("name"))
     by_key = held.join(named.withColumnRenamed("name", "x"), ["type", "key"]).join(named.select("type", F.col("key").alias("outer"), F.col("name").alias("y")), ["type", "outer"])
     by_key = by_key.select("type", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
     # loose keys
-    every = keyed.filter("key <> ''").alias("x").join(keyed.filter("key <> ''").alias("y"), ["type", "key"]).filter("x.name < y.name").select("type", F.col("x.name").alias("a"), F.col("y.name").alias("b"))
+    if stars:
+        first = keyed.filter("key <> ''").groupBy("type", "key").agg(F.min("name").alias("a"))
+        every = keyed.join(first, ["type", "key"]).filter("a < name").select("type", "a", F.col("name").alias("b"))
+    else:
+        every = keyed.filter("key <> ''").alias("x").join(keyed.filter("key <> ''").alias("y"), ["type", "key"]).filter("x.name < y.name").select("type", F.col("x.name").alias("a"), F.col("y.name").alias("b"))
     candidates = by_token.union(by_key).union(every).distinct()
     left = keyed.select("type", F.col("name").alias("a"), F.col("key").alias("ka"), F.col("toks").alias("ta"))
     right = keyed.select("type", F.col("name").alias("b"), F.col("key").alias("kb"), F.col("toks").alias("tb"))
@@ -127,7 +140,7 @@ def review_clusters(nodes: DataFrame, registry: DataFrame | None = None, least:
     """Clusters of similar canonical names of a type: type, cluster (first name), name, freq, member_place (by frequency) and
     cluster_place (by size). Clusters of one are left out, and those whose names the registry already takes for one entity."""
     formed = canonical_of(nodes, registry, fold).groupBy(F.col("form").alias("name"), "type").agg(F.sum("freq").alias("seen"))
-    edges = similar_pairs(formed.select("name", "type"), least, fold)
+    edges = similar_pairs(formed.select("name", "type"), least, fold, stars=True)
     labels = components(edges.select("type", "a", "b"), by="type")
     own = nodes.select("name", "type", "freq")
     members = labels.select("type", F.col("component").alias("cluster"), F.col("node").alias("name")).join(own, ["name", "type"], "left").select("type", "cluster", "name", F.coalesce("freq", F.lit(0)).cast("long").alias("freq"))

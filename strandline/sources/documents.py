@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import io
+import shutil
+import subprocess
 import zipfile
 from collections.abc import Iterator
 
@@ -26,6 +28,9 @@ def supported(path: Column) -> Column:
 
 
 def pdf_text(content: bytes) -> str:
+    """By pdftotext where the machine has it, else by pypdf."""
+    if shutil.which("pdftotext"):
+        return subprocess.run(["pdftotext", "-", "-"], input=content, capture_output=True, check=True).stdout.decode("utf-8", "replace")  # noqa: S603, S607
     try:
         from pypdf import PdfReader
     except ImportError:
@@ -46,7 +51,7 @@ def _texts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def read_documents(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """path, ext, text of each file. A PDF needs the optional pypdf."""
+    """path, ext, text of each file. A PDF needs pdftotext or the optional pypdf."""
     reader = spark.read.format("binaryFile")
     files = (reader.option("pathGlobFilter", glob) if glob else reader).load(path).select("path", supported(F.col("path")).alias("ext"), "content")
     raw = files.mapInPandas(_texts, "path string, ext string, raw string")
