@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -43,13 +45,29 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, codec: str = "snappy") -> DataFrame:
     """As durable(), as compressed Parquet with only the needed columns read back: for wider intermediate tables."""
     path = passing(df.sparkSession, f"{shared_dir(df.sparkSession)}/strandline-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def stored_in_buckets(df: DataFrame, keys: list[str]) -> DataFrame:
+    """As stored(), as a table in buckets of the keys, one for each shuffle partition: joins on the keys don't shuffle it."""
+    spark = df.sparkSession
+    n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"strandline_{uuid.uuid4().hex}"
+    path = passing(spark, f"{shared_dir(spark)}/{name}")
+    df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).format("parquet").option("path", path).saveAsTable(name)
+    atexit.register(_drop, spark, name)
+    return spark.table(name)
+
+
+def _drop(spark: SparkSession, name: str) -> None:
+    """The table's entry in the catalog goes too; one that ends with the session needs nothing."""
+    with contextlib.suppress(Exception):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def apart(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """df with columns __0, __1, ... that clash with nothing, and the new name of each."""
     names = {c: f"__{k}" for k, c in enumerate(df.columns)}

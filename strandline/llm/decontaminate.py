@@ -3,7 +3,9 @@
 The index is stored in the shared folder. Texts are gathered in blocks; the words of a block have places, with a gap
 between texts, and a row of the index has the posting lists of one block and one bucket of terms: terms (64-bit hashes,
 ascending), where their lists end, and the ascending places. Rows are dealt by bucket of terms (and, so that the bucket of
-a very common term is spread, by block), and stored in order of bucket; a text of any length is in one block.
+a very common term is spread, by block) into a bucketed table, so that a search meets them where they lie: only what it asks
+for is shuffled. A text of any length is in one block. Only terms
+of the test items get lists, where these have at most TERMS distinct ones (whose hashes are broadcast); else all terms do.
 
 A test window is searched from its rarest term. Frequencies are the lengths of the lists, so one pass over the index
 (without places) ranks the terms of all windows; a window with a term that never occurs ends there. The rarest term's
@@ -13,8 +15,7 @@ place where the term must be, and stays if every term of the window is there. Wh
 matches. A proximity match asks for a posting of each term within `slop` words of its place beside the rarest one; the gaps
 between texts are wider than that.
 
-Items and windows are tables too. Nothing of them, nor of the documents, goes through the driver, and joins with small tables
-are broadcast only where Spark knows their size.
+Items and windows are tables too; besides those hashes nothing of them, nor of the documents, goes through the driver.
 
 Null or wordless texts have no words and no hits; null or wordless items have no windows; items that share a text
 all count. Rows with a repeated id are separate documents. An own column named n_words or hits gives way to the added one.
@@ -27,18 +28,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import apart, pieces, restored, stored, utf8
+from .base import apart, pieces, restored, stored, stored_in_buckets, utf8
 from .textscan import ALNUM, Words, mix
 
 #: Bytes of text whose postings make a block of the index.
 BLOCK_BYTES = 8 << 20
 #: Term buckets: 2 ** BITS.
 BITS = 6
-#: The words of ALNUM, in any case.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Distinct terms of test items whose hashes are broadcast at most.
+TERMS = 4 << 20
 LISTS = "bucket int, block long, terms binary, ends binary, places binary"
 
 
@@ -66,8 +68,8 @@ def windows_of(items: DataFrame, size: int) -> DataFrame:
     return items.mapInArrow(run, "w long, item string, terms array<long>")
 
 
-def _postings(gap: int, block_bytes: int):  # noqa: ANN202
-    """(row, text) -> rows of the index, and for each block (bucket -1) its rows and the places where they begin."""
+def _postings(gap: int, block_bytes: int, vocabulary: Broadcast | None):  # noqa: ANN202
+    """(row, text) -> rows of the index, and for each block (bucket -1) its rows, the places where they begin and their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -78,12 +80,16 @@ def _postings(gap: int, block_bytes: int):  # noqa: ANN202
             rows, counts, term = (np.concatenate([h[k] for h in held]) for k in range(3))
             begin = np.cumsum(counts + gap) - (counts + gap)
             place = (np.arange(len(term)) + np.repeat(gap * np.arange(len(rows)), counts)).astype(np.int32)
+            if vocabulary is not None:
+                known = vocabulary.value
+                asked = known[np.minimum(np.searchsorted(known, term), len(known) - 1)] == term if len(known) else np.zeros(len(term), bool)
+                term, place = term[asked], place[asked]
             order = np.argsort(term, kind="stable")
             term, place = term[order], place[order]
             first = np.flatnonzero(np.concatenate((np.ones(min(1, len(term)), bool), term[1:] != term[:-1])))
             terms, ends = term[first], np.append(first[1:], len(term))[: len(first)]
             cut = np.searchsorted(terms, np.arange(1 << BITS, dtype=np.uint64) << np.uint64(64 - BITS))
-            out = [(-1, rows.astype(np.int64).tobytes(), begin.astype(np.int64).tobytes(), b"")]
+            out = [(-1, rows.astype(np.int64).tobytes(), begin.astype(np.int64).tobytes(), counts.astype(np.int64).tobytes())]
             for k, (a, b) in enumerate(zip(cut.tolist(), [*cut[1:].tolist(), len(terms)], strict=True)):
                 if a < b:
                     out.append((k, terms[a:b].tobytes(), (ends[a:b] - first[a]).astype(np.int32).tobytes(), place[first[a] : ends[b - 1]].tobytes()))
@@ -105,12 +111,15 @@ def _postings(gap: int, block_bytes: int):  # noqa: ANN202
     return run
 
 
-def build_index(texts: DataFrame, gap: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The stored index of texts (row, text)."""
-    n = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = F.pmod(F.xxhash64("block"), F.lit(max(1, -(-n // (1 << BITS)))))
-    rows = texts.mapInArrow(_postings(gap, block_bytes), LISTS)
-    return stored(rows.repartition("bucket", spread).sortWithinPartitions("bucket", "block"))
+def build_index(texts: DataFrame, gap: int, block_bytes: int = BLOCK_BYTES, terms: DataFrame | None = None) -> DataFrame:
+    """The stored index of texts (row, text), a table bucketed by (bucket, block); of terms (distinct, a column term) only, if
+    these are few enough."""
+    vocabulary = None
+    if terms is not None:
+        found = terms.limit(TERMS + 1).toArrow().column(0).to_numpy()
+        vocabulary = texts.sparkSession.sparkContext.broadcast(np.sort(found.view(np.uint64))) if len(found) <= TERMS else None
+    rows = texts.mapInArrow(_postings(gap, block_bytes, vocabulary), LISTS)
+    return stored_in_buckets(rows, ["bucket", "block"])
 
 
 class Lists:
@@ -200,7 +209,7 @@ def intersected(candidates: DataFrame, plans: DataFrame, lists: DataFrame, first
     asks = joined.filter(F.size("plan") > first).select("block", "w", "start", F.slice("plan", first + 1, last - first).alias("asked"))
     asks = asks.select("block", "w", "start", F.size("asked").cast("long").alias("need"), F.inline("asked"))
     packed = asks.groupBy(bucket_of(F.col("term")).alias("bucket"), "block").agg(F.collect_list(F.struct("term", (F.col("start") + F.col("offset")).alias("place"), "w", "start", "need")).alias("asks"))
-    met = lists.join(packed, ["bucket", "block"]).select("block", "terms", "ends", "places", *_unpacked("asks", "term", "place", "w", "start", "need"))
+    met = lists.hint("merge").join(packed, ["bucket", "block"]).select("block", "terms", "ends", "places", *_unpacked("asks", "term", "place", "w", "start", "need"))
     there = met.mapInArrow(_asked(slop), "block long, w long, start long, need long").groupBy("block", "w", "start").agg(F.count("*").alias("n"), F.max("need").alias("need"))
     return there.filter("n = need").select("block", "w", "start").union(joined.filter(F.size("plan") <= first).select("block", "w", "start"))
 
@@ -217,16 +226,23 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch(out, ["row", "w", "from", "to"])
 
 
-def found_in(texts: DataFrame, items: DataFrame, size: int, slop: int | None, block_bytes: int) -> DataFrame:
-    """row and hits of those texts (row, text) that windows of items (item, text) occur in."""
-    index = build_index(texts, size + (slop or 0), block_bytes)
-    lists = index.filter("bucket >= 0")
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rows, counts) of a block -> (row, n_words)."""
+    for batch in batches:
+        yield _batch([tuple(np.frombuffer(batch.column(c)[k].as_py(), np.int64) for c in (0, 1)) for k in range(len(batch))], ["row", "n_words"])
+
+
+def found_in(texts: DataFrame, items: DataFrame, size: int, slop: int | None, block_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """row and hits of those texts (row, text) that windows of items (item, text) occur in; row and n_words of all texts."""
     windows = stored(windows_of(items, size))
+    index = build_index(texts, size + (slop or 0), block_bytes, windows.select(F.explode("terms").alias("term")).distinct())
+    lists = index.filter("bucket >= 0")
     distinct = stored(windows.groupBy("w").agg(F.first("terms").alias("terms")))
-    placed = distinct.select("w", F.posexplode("terms").alias("offset", "term"))
+    # of equally rare terms the one nearest the window's middle goes first: the others are then within reach on both sides
+    placed = distinct.select("w", F.size("terms").alias("length"), F.posexplode("terms").alias("offset", "term"))
     asked = placed.select("term").distinct().groupBy(bucket_of(F.col("term")).alias("bucket")).agg(F.collect_list("term").alias("asked"))
     sizes = lists.select("bucket", "terms", "ends").join(asked, "bucket").select("terms", "ends", "asked").mapInArrow(_sizes, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    ranked = placed.join(sizes, "term", "left").groupBy("w").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0).cast("long")).alias("n"), F.col("offset").cast("long").alias("offset"), "term"))).alias("plan"))
+    ranked = placed.join(sizes, "term", "left").groupBy("w").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0).cast("long")).alias("n"), F.abs(2 * F.col("offset") + 1 - F.col("length")).alias("beside"), F.col("offset").cast("long").alias("offset"), "term"))).alias("plan"))
     plans = stored(ranked.filter("plan[0].n > 0"))
 
     rarest = plans.select(F.col("plan")[0]["term"].alias("term"), F.col("plan")[0]["offset"].alias("offset"), "w")
@@ -244,7 +260,8 @@ def found_in(texts: DataFrame, items: DataFrame, size: int, slop: int | None, bl
     hits = blocks.join(packed, "block").select("terms", "ends", *_unpacked("p", "place", "w", "size")).mapInArrow(_rows, "row long, w long, from long, to long")
     named = hits.join(windows.select("w", F.coalesce("item", F.lit("")).alias("item")).distinct(), "w")
     spans = named.groupBy("row", "item").agg(merged(F.array_sort(F.collect_set(F.struct("from", "to")))).alias("spans"))
-    return spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("item", "spans"))).alias("hits"))
+    counts = index.filter("bucket = -1").select("terms", "places").mapInArrow(_counted, "row long, n_words long")
+    return spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("item", "spans"))).alias("hits")), counts
 
 
 def merged(spans: Column) -> Column:
@@ -255,17 +272,18 @@ def merged(spans: Column) -> Column:
     return F.aggregate(spans, none, lambda acc, s: F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["to"] >= s["from"]), longer(acc, s)).otherwise(F.concat(acc, F.array(s))))
 
 
-def matches(df: DataFrame, text_col: str, items: DataFrame, item_col: str, item_text_col: str, size: int = 10, slop: int | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """df with n_words and `hits`: for each item with an occurring window {item, spans of words (from, to)}.
+def matches(df: DataFrame, text_col: str, items: DataFrame, item_col: str, item_text_col: str, size: int = 10, slop: int | None = None, block_bytes: int = BLOCK_BYTES, counted: bool = True) -> DataFrame:
+    """df with n_words (null unless counted) and `hits`: for each item with an occurring window {item, spans of words (from, to)}.
 
     slop None asks for exact phrases, a number for proximity matches (spans are then the rarest terms' places)."""
     own, names = apart(df)
     text = names[text_col]
-    rows = stored(own.withColumn("__row", F.monotonically_increasing_id()).withColumn("n_words", F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")))
+    rows = stored(own.withColumn("__row", F.monotonically_increasing_id()), "zstd")
     asked = items.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text"))
-    found = found_in(rows.select(F.col("__row").alias("row"), F.col(text).alias("text")), asked, size, slop, block_bytes)
+    found, counts = found_in(rows.select(F.col("__row").alias("row"), F.col(text).alias("text")), asked, size, slop, block_bytes)
     none = F.array().cast("array<struct<item:string,spans:array<struct<from:long,to:long>>>>")
-    told = rows.join(found.withColumnRenamed("row", "__row"), "__row", "left").withColumn("hits", F.coalesce("hits", none))
+    added = counts.join(found, "row", "left") if counted else found.withColumn("n_words", F.lit(None).cast("long"))
+    told = rows.join(stored(added.withColumnRenamed("row", "__row")), "__row", "left").withColumn("hits", F.coalesce("hits", none))
     return restored(told, names, ["n_words", "hits"])
 
 
