@@ -50,7 +50,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
     own, names = apart(docs)
-    found = decontaminate.matches(own, names["text"], table(spark, sf_dir, "benchmark"), "item_id", "text", size=WINDOW_WORDS)
+    found = decontaminate.matches(own, names["text"], table(spark, sf_dir, "benchmark"), "item_id", "text", size=WINDOW_WORDS, counted=False)
     return restored(found.filter(F.size("hits") == 0), names, [])
 
 
