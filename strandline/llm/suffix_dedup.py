@@ -338,7 +338,7 @@ def repeated_ranges(keyed: DataFrame, width: int) -> DataFrame:
     sizes = contexts.filter("varied").groupBy("owner").agg(F.sum(F.col("at.hi") - F.col("at.lo") + width).alias("size"))
     hot = stored(sizes.filter(F.col("size") > HOT).select("owner"))
     if not hot.isEmpty():
-        cut = split_hot(cut, hot, width)
+        cut = split_hot(stored(cut), hot, width)
     single = cut.repartition("owner").sortWithinPartitions("owner", "content").mapInArrow(_shard_rows(width), "k1 long, k2 long, lo int, hi int")
     return whole.union(single).groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
 
