@@ -49,7 +49,19 @@ def stored(df: DataFrame, codec: str = "snappy") -> DataFrame:
     """As durable(), as compressed Parquet with only the needed columns read back: for wider intermediate tables."""
     path = passing(df.sparkSession, f"{shared_dir(df.sparkSession)}/strandline-{uuid.uuid4().hex}")
     df.write.option("compression", codec).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    out = df.sparkSession.read.parquet(path)
+    out._stored_at = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Deletes the files of stored() tables that no later plan reads, and lets Spark's cleaner drop shuffles of finished plans."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    if tables:
+        tables[0].sparkSession._jvm.System.gc()
 
 
 def stored_in_buckets(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -59,7 +71,9 @@ def stored_in_buckets(df: DataFrame, keys: list[str]) -> DataFrame:
     path = passing(spark, f"{shared_dir(spark)}/{name}")
     df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).format("parquet").option("path", path).saveAsTable(name)
     atexit.register(_drop, spark, name)
-    return spark.table(name)
+    out = spark.table(name)
+    out._stored_at = path
+    return out
 
 
 def _drop(spark: SparkSession, name: str) -> None:

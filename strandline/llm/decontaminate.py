@@ -32,7 +32,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .base import apart, pieces, restored, stored, stored_in_buckets, utf8
+from .base import apart, forget, pieces, restored, stored, stored_in_buckets, utf8
 from .textscan import ALNUM, Words, mix
 
 #: Bytes of text whose postings make a block of the index.
@@ -232,8 +232,9 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _batch([tuple(np.frombuffer(batch.column(c)[k].as_py(), np.int64) for c in (0, 1)) for k in range(len(batch))], ["row", "n_words"])
 
 
-def found_in(texts: DataFrame, items: DataFrame, size: int, slop: int | None, block_bytes: int) -> tuple[DataFrame, DataFrame]:
-    """row and hits of those texts (row, text) that windows of items (item, text) occur in; row and n_words of all texts."""
+def found_in(texts: DataFrame, items: DataFrame, size: int, slop: int | None, block_bytes: int, counted: bool = True) -> DataFrame:
+    """row, n_words and hits (null: none) of all texts (row, text); unless counted, with n_words null, of those only that windows of
+    items (item, text) occur in. Stored."""
     windows = stored(windows_of(items, size))
     index = build_index(texts, size + (slop or 0), block_bytes, windows.select(F.explode("terms").alias("term")).distinct())
     lists = index.filter("bucket >= 0")
@@ -250,7 +251,8 @@ def found_in(texts: DataFrame, items: DataFrame, size: int, slop: int | None, bl
     candidates = stored(lists.join(probes, "bucket").select("block", "terms", "ends", "places", "term", "offset", "w").mapInArrow(_starts, "block long, w long, start long"))
     for first, last in ((1, 2), (2, size)):
         if last > first:
-            candidates = stored(intersected(candidates, plans, lists, first, last, slop or 0))
+            before, candidates = candidates, stored(intersected(candidates, plans, lists, first, last, slop or 0))
+            forget(before)
 
     pivot = F.lit(0) if slop is None else F.col("plan")[0]["offset"]
     long = F.size("plan").cast("long") if slop is None else F.lit(1).cast("long")
@@ -260,8 +262,11 @@ def found_in(texts: DataFrame, items: DataFrame, size: int, slop: int | None, bl
     hits = blocks.join(packed, "block").select("terms", "ends", *_unpacked("p", "place", "w", "size")).mapInArrow(_rows, "row long, w long, from long, to long")
     named = hits.join(windows.select("w", F.coalesce("item", F.lit("")).alias("item")).distinct(), "w")
     spans = named.groupBy("row", "item").agg(merged(F.array_sort(F.collect_set(F.struct("from", "to")))).alias("spans"))
+    found = spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("item", "spans"))).alias("hits"))
     counts = index.filter("bucket = -1").select("terms", "places").mapInArrow(_counted, "row long, n_words long")
-    return spans.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("item", "spans"))).alias("hits")), counts
+    out = stored(counts.join(found, "row", "left") if counted else found.withColumn("n_words", F.lit(None).cast("long")))
+    forget(windows, distinct, plans, candidates, index)
+    return out
 
 
 def merged(spans: Column) -> Column:
@@ -280,10 +285,9 @@ def matches(df: DataFrame, text_col: str, items: DataFrame, item_col: str, item_
     text = names[text_col]
     rows = stored(own.withColumn("__row", F.monotonically_increasing_id()), "zstd")
     asked = items.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("text"))
-    found, counts = found_in(rows.select(F.col("__row").alias("row"), F.col(text).alias("text")), asked, size, slop, block_bytes)
+    found = found_in(rows.select(F.col("__row").alias("row"), F.col(text).alias("text")), asked, size, slop, block_bytes, counted)
     none = F.array().cast("array<struct<item:string,spans:array<struct<from:long,to:long>>>>")
-    added = counts.join(found, "row", "left") if counted else found.withColumn("n_words", F.lit(None).cast("long"))
-    told = rows.join(stored(added.withColumnRenamed("row", "__row")), "__row", "left").withColumn("hits", F.coalesce("hits", none))
+    told = rows.join(found.withColumnRenamed("row", "__row"), "__row", "left").withColumn("hits", F.coalesce("hits", none))
     return restored(told, names, ["n_words", "hits"])
 
 

@@ -533,7 +533,7 @@ def ngram_join(df: DataFrame, id_col: str, text_col: str, n: int = 3, percent: i
     packed = docs.filter("id is not null").select("text").mapInArrow(_packed(n, bands, buckets, sketched), "bucket int, signs binary, ids binary, hubs binary")
     packed = packed.repartition("bucket").sortWithinPartitions("bucket")
     if sketched:
-        members = packed.mapInArrow(_grouped, "f1 long, sign long").join(classes, "f1").select("sign", "f1", "n_shingles", "sketch")
+        members = packed.mapInArrow(_grouped, "f1 long, sign long").join(classes.hint("merge"), "f1").select("sign", "f1", "n_shingles", "sketch")
         candidates = members.repartition("sign").sortWithinPartitions("sign").mapInArrow(_pruned(percent), "a long, b long")
     else:
         candidates = packed.mapInArrow(_matched, "a long, b long")

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .base import apart, pieces, restored, stored, text_key, utf8
+from .base import apart, forget, pieces, restored, stored, text_key, utf8
 from .textscan import Rolling, mix
 
 GRAM = 32
@@ -314,11 +314,13 @@ def _shard_rows(width: int):  # noqa: ANN202
 
 
 def repeated_ranges(keyed: DataFrame, width: int) -> DataFrame:
-    """k1, k2, spans (array of lo, hi: first and last repeated window, ascending) of the texts of keyed (k1, k2, id, text) that have any."""
-    rows = stored(keyed.select("k1", "k2", "text").filter(F.octet_length("text") >= width).mapInArrow(_anchor_rows(width), "k1 long, k2 long, lo int, hi int, owner long, content long"))
-    again = rows.groupBy("owner").agg(F.count("*").alias("n"), F.min("content").alias("c1"), F.max("content").alias("c2")).filter("n > 1").select("owner", (F.col("c1") < F.col("c2")).alias("varied"))
+    """k1, k2, spans (array of lo, hi: first and last repeated window, ascending) of the texts of keyed (k1, k2, id, text) that have any; stored."""
+    every = stored(keyed.select("k1", "k2", "text").filter(F.octet_length("text") >= width).mapInArrow(_anchor_rows(width), "k1 long, k2 long, lo int, hi int, owner long, content long"))
+    again = every.groupBy("owner").agg(F.count("*").alias("n"), F.min("content").alias("c1"), F.max("content").alias("c2")).filter("n > 1").select("owner", (F.col("c1") < F.col("c2")).alias("varied"))
     # tables of their own, so that a join's sides are shuffles and a hot key's rows can be dealt to several tasks
-    rows = stored(rows.join(stored(again), "owner"))
+    again = stored(again)
+    rows = stored(every.join(again, "owner"))
+    forget(every, again)
     contexts = stored(rows.groupBy("owner", "content", "varied").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "lo", "hi")).alias("at")))
     whole = rows.join(contexts.filter("n > 1").select("owner", "content"), ["owner", "content"]).select("k1", "k2", "lo", "hi")
     open_groups = contexts.filter("varied").groupBy("owner").agg(F.min("n").alias("least")).filter("least = 1").select("owner")
@@ -337,10 +339,14 @@ def repeated_ranges(keyed: DataFrame, width: int) -> DataFrame:
     )
     sizes = contexts.filter("varied").groupBy("owner").agg(F.sum(F.col("at.hi") - F.col("at.lo") + width).alias("size"))
     hot = stored(sizes.filter(F.col("size") > HOT).select("owner"))
+    held = [rows, contexts, hot]
     if not hot.isEmpty():
-        cut = split_hot(stored(cut), hot, width)
+        held.append(stored(cut))
+        cut = split_hot(held[-1], hot, width)
     single = cut.repartition("owner").sortWithinPartitions("owner", "content").mapInArrow(_shard_rows(width), "k1 long, k2 long, lo int, hi int")
-    return whole.union(single).groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
+    spans = stored(whole.union(single).groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("spans")))
+    forget(*held)
+    return spans
 
 
 def _kept(raw: bytes, spans: pa.StructScalar, width: int) -> tuple[bytes, int]:
@@ -400,7 +406,7 @@ def remove_repeats(df: DataFrame, id_col: str, text_col: str, width: int = 200,
     remaining text as `kept` (a character that a cut leaves incomplete is dropped from it, never from the digest)."""
     raw = F.coalesce(F.col(text_col), F.lit(""))
     keyed = df.select(*text_key(F.col(text_col)), F.col(id_col).alias("id"), raw.alias("text"))
-    spans = stored(repeated_ranges(keyed, width))
+    spans = repeated_ranges(keyed, width)
     if with_text:
         own, names = apart(df)
         copies = keyed.groupBy("k1", "k2").agg(F.count("*").alias("__n"))
