@@ -6,13 +6,12 @@ several types, and are kept apart.
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import ontology
 from ..functions.triples import code_or_default
+from .durable import cut_lineage
 from .merge import sides
 
 
@@ -185,25 +184,3 @@ def components(pairs: DataFrame, by: str) -> DataFrame:
         label = new.drop("old")
         if not changed:
             return label
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """df as a checkpoint in the shared folder: plans of loops stay short, and a lost executor costs one read."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the cluster names it. Only a local master may do without one.
-    Checkpoints in it go when the driver's JVM ends."""
-    sc = spark.sparkContext
-    held = sc._jsc.sc().getCheckpointDir()
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if held.isEmpty():
-        if not named and not sc.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="strandline-"))
-        held = sc._jsc.sc().getCheckpointDir()
-        path = spark._jvm.org.apache.hadoop.fs.Path(held.get())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return named or held.get()

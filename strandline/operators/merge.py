@@ -6,12 +6,16 @@ o_type and, where there are any, s_props, p_props, o_props, evidence, chunk_id.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ByteType, IntegerType, LongType, ShortType
 
 from .. import ontology
 from ..functions.text import norm
 from ..functions.triples import BAG, rename_keys, triple_id
+from .durable import stored
 
 OPTIONAL = {"s_props": BAG, "p_props": BAG, "o_props": BAG, "evidence": "string", "chunk_id": "string"}
 
@@ -22,6 +26,8 @@ def dedup_first(mentions: DataFrame) -> DataFrame:
     One aggregation with min() of an ordered struct: copies combine before the shuffle."""
     payload = [c for c in mentions.columns if c not in ("doc_id", "ord")]
     orderable = [c for c in payload if not mentions.schema[c].dataType.simpleString().startswith("map")]
+    if len(orderable) == len(payload):
+        mentions = _combined(mentions, payload)
     keyed = mentions.withColumn("__s", norm(F.col("s_name"))).withColumn("__o", norm(F.col("o_name")))
     keys = ["doc_id", "__s", "code", "__o"]
     if len(orderable) == len(payload):
@@ -31,10 +37,40 @@ def dedup_first(mentions: DataFrame) -> DataFrame:
     return first.select("doc_id", "f.ord", *[f"f.{c}" for c in payload])
 
 
+def _combined(mentions: DataFrame, payload: list[str]) -> DataFrame:
+    """The first of mentions that differ in ord only, where ord is a struct that ends in two whole numbers a and b.
+
+    min() of a struct sorts all rows of a task; min() of a number combines them in a hash table. So the two become one,
+    10^19 a + b; its other fields, and numbers below zero and nulls, are keys of the groups instead."""
+    of = mentions.schema["ord"].dataType
+    whole = [isinstance(f.dataType, (ByteType, ShortType, IntegerType, LongType)) for f in getattr(of, "fields", [])]
+    if whole[-2:] != [True, True]:
+        return mentions
+    names = of.names
+    *leading, a, b = [F.col("ord")[n] for n in names]
+    fits, number, most = (a >= 0) & (b >= 0), "decimal(38,0)", F.lit(Decimal(10**19))
+    fits = F.coalesce(fits, F.lit(False))
+    odd = F.when(~fits, F.struct(a.alias("a"), b.alias("b")))
+    heads = [c.alias(f"__{k}") for k, c in enumerate(leading)]
+    packed = F.when(fits, (a.cast("decimal(19,0)") * most + b).cast(number))
+    groups = mentions.select("doc_id", *payload, *heads, odd.alias("__odd"), packed.alias("__at")).groupBy("doc_id", *payload, *[f"__{k}" for k in range(len(leading))], "__odd").agg(F.min("__at").alias("__at"))
+    back = [F.col(f"__{k}") for k in range(len(leading))] + [F.coalesce("__odd.a", F.expr("__at div 10000000000000000000BD")), F.coalesce("__odd.b", F.expr("cast(__at % 10000000000000000000BD as bigint)"))]
+    return groups.select("doc_id", F.struct(*[c.cast(f.dataType).alias(n) for c, n, f in zip(back, names, of.fields, strict=True)]).alias("ord"), *payload)
+
+
 def with_ids(triples: DataFrame) -> DataFrame:
-    """seq (1-based in the document, equal places by name) and id."""
-    numbered = triples.withColumn("seq", F.row_number().over(Window.partitionBy("doc_id").orderBy("ord", "s_name", "code", "o_name")).cast("long"))
-    return numbered.withColumn("id", triple_id(F.col("seq")))
+    """seq (1-based in the document, equal places by name) and id.
+
+    Triples are dealt by ranges of their order and stored with their places in the range; the triples of earlier ranges
+    come on top, so that no task has more of a document than its range."""
+    order = ["doc_id", "ord", "s_name", "code", "o_name"]
+    placed = stored(triples.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()))
+    placed = placed.withColumn("__range", F.shiftright("__at", 33))
+    earlier = Window.partitionBy("of").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = placed.groupBy(F.col("doc_id").alias("of"), F.col("__range").alias("range")).agg(F.min("__at").alias("first"), F.count("*").alias("n"))
+    ranges = ranges.select("of", "range", (F.coalesce(F.sum("n").over(earlier), F.lit(0)) + 1 - F.col("first")).alias("plus"))
+    numbered = placed.join(ranges, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("__range") == F.col("range")))
+    return numbered.select(*triples.columns, (F.col("__at") + F.col("plus")).alias("seq")).withColumn("id", triple_id(F.col("seq")))
 
 
 def canonical_keys(triples: DataFrame, node_aliases: dict[str, str], relation_aliases: dict[str, str]) -> DataFrame:

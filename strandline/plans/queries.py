@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +11,7 @@ from .. import ontology
 from ..functions import text as X
 from ..functions import triples as P
 from ..operators import checks, chunking, graph, iterative, merge, predict, resolve, schema_state
+from ..operators.durable import scratch
 from ..sources import documents, extractions, sinks
 from ..streaming import state
 from . import dashboard
@@ -384,14 +384,6 @@ def bridge_consolidation(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- sources: files that the query writes into the shared folder, and reads
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new path in the shared folder, whose files go when the driver's JVM ends."""
-    name = f"{graph.shared_dir(spark)}/strandline-{uuid.uuid4().hex}"
-    path = spark._jvm.org.apache.hadoop.fs.Path(name)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return name
-
-
 EXTRACTED = """SELECT s_name, s_type, left(s_name, 3) AS s_kind, code, CASE WHEN seq % 2 = 0 THEN 't' || (seq % 7) END AS time, o_name, o_type, CASE WHEN seq % 3 <> 2 THEN left(o_name, 3) END AS o_kind, CASE WHEN seq % 5 = 0 THEN '' ELSE concat_ws(' ', s_name, code, o_name) END AS evidence FROM t"""
 
 

@@ -268,3 +268,37 @@ def test_statements(spark):
     assert lines[1] == "// nodes=1 relationships=2" and len(lines) == 4 and "a\\'b" in lines[2]
     back = sinks.parse_statements(spark.createDataFrame([(x,) for x in lines], "value string")).first()
     assert (back["s_name"], back["code"], back["o_name"]) == ("a'b", "CAUSES", "c")
+
+
+MENTION = "doc_id string, ord struct<f:string,a:bigint,b:bigint>, s_name string, s_type string, code string, o_name string, o_type string"
+
+
+def test_mentions_are_combined_in_hash_tables(spark):
+    odd = [None, -(2**63), -1, 0, 1, 2**63 - 1]
+    rows = [(d, (f, a, b), n, "Event", "CAUSES", "y", "Event") for d in ("d", None) for f in ("f", "g", None) for a in odd for b in odd for n in (f"x{a}", "X")]
+    given = spark.createDataFrame(rows[::-1], MENTION)
+    low = lambda r: tuple((x is not None, x) for x in r[1])
+    first = {}
+    for r in sorted(rows, key=lambda r: (low(r), r[2])):
+        first.setdefault((r[0], r[2].lower()), r)
+    found = merge.dedup_first(given)
+    assert sorted(map(str, first.values())) == sorted(str((*r[:1], tuple(r[1]), *r[2:])) for r in found.collect())
+    steps = [line for line in found._jdf.queryExecution().sparkPlan().toString().splitlines() if "Aggregate" in line]
+    assert "HashAggregate" in steps[-1]
+
+
+def test_ids_of_one_document_are_numbered_in_several_tasks(spark):
+    n = 20000
+    rows = spark.range(n).selectExpr("if(id % 10 = 0, null, 'd') AS doc_id", "named_struct('f', 'f', 'a', id, 'b', 0L) AS ord", "concat('n', id) AS s_name", "'Event' AS s_type", "'CAUSES' AS code", "'y' AS o_name", "'Event' AS o_type")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        found = merge.with_ids(rows.repartition(3, "s_name"))
+        sizes = [r[1] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        got = found.select("doc_id", "ord.a", "seq", "id").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(sizes) > 1 and max(sizes) < n / 2
+    assert sorted(r["seq"] for r in got if r["doc_id"]) == list(range(1, n - n // 10 + 1))
+    assert all(r["seq"] == (r["a"] // 10 + 1 if r["doc_id"] is None else r["a"] - r["a"] // 10) and r["id"] == f"T{r['seq']:04d}" for r in got)
