@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,15 +39,30 @@ def rename_keys(bag: Column, aliases: Column) -> Column:
 
     Built without duplicate map keys, so it does not depend on the session's policy for them."""
     named = F.transform(F.map_entries(bag), lambda e: F.struct(F.coalesce(F.element_at(aliases, e["key"]), e["key"]).alias("key"), e["value"].alias("value")))
-    keys = F.array_distinct(F.transform(named, lambda e: e["key"]))
-    last = F.transform(keys, lambda k: F.element_at(F.filter(named, lambda e: e["key"] == k), -1)["value"])
-    return F.map_from_arrays(keys, last)
+
+    def renamed(named: Column) -> Column:
+        keys = F.array_distinct(F.transform(named, lambda e: e["key"]))
+        last = F.transform(keys, lambda k: F.element_at(F.filter(named, lambda e: e["key"] == k), -1)["value"])
+        return F.map_from_arrays(keys, last)
+
+    return bound(named, renamed)
+
+
+def bound(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), with value computed once however often f names it: within lambdas Spark computes an expression anew for
+    each element, and nested ones as often as their product."""
+    return F.element_at(F.transform(F.array(value), f), 1)
 
 
 def overlay(bag: Column, extra: Column) -> Column:
     """bag with extra's entries, which win, in order of first appearance."""
-    keys = F.array_union(F.map_keys(bag), F.map_keys(extra))
-    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.when(F.map_contains_key(extra, k), F.element_at(extra, k)).otherwise(F.element_at(bag, k))))
+
+    def laid(both: Column) -> Column:
+        bag, extra = both["bag"], both["extra"]
+        keys = F.array_union(F.map_keys(bag), F.map_keys(extra))
+        return F.map_from_arrays(keys, F.transform(keys, lambda k: F.when(F.map_contains_key(extra, k), F.element_at(extra, k)).otherwise(F.element_at(bag, k))))
+
+    return bound(F.struct(bag.alias("bag"), extra.alias("extra")), laid)
 
 
 def literal(value: Column, kind: Column | None = None) -> Column:

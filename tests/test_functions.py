@@ -51,3 +51,11 @@ def test_labels(spark):
     assert values(spark, ["Event", "RiskFactor", "Robot"], P.node_label(F.col("s"))) == ["Event", "Hazard:RiskFactor", "Other:Robot"]
     assert values(spark, [("", None, "/x/doc_1.json"), ("L", "s", "p"), ("", "s", "p")], P.document_label(F.col("a"), F.col("b"), F.col("c")), "a string, b string, c string") == ["doc_1", "L", "s"]
     assert values(spark, [7, 12345], P.triple_id(F.col("s")), "s int") == ["T0007", "T12345"]
+
+
+def test_bags_are_computed_once_in_lambdas(spark):
+    rows = spark.createDataFrame([('{"a":"1","b":"2"}', {"b": "3", "c": "4"}), (None, {"b": "3"})], "raw string, extra map<string,string>")
+    bag = P.rename_keys(P.overlay(F.from_json("raw", P.BAG), F.col("extra")), F.create_map(F.lit("c"), F.lit("a")))
+    found = rows.select(bag.alias("bag"))
+    assert [r["bag"] for r in found.collect()] == [{"a": "4", "b": "3"}, None]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
