@@ -414,9 +414,10 @@ def extraction_files_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 def triple_documents_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Triple documents written as JSON and read again, with their metadata."""
     found, path = bagged(triples(spark, sf_dir)).withColumn("chunk_id", F.lit("1")), scratch(spark)
-    sinks.triple_documents(found, merge.document_metadata(found, "none", "v9")).repartition("doc_id").write.partitionBy("doc_id").text(path)
+    sinks.triple_documents(found, merge.document_metadata(found, "none", "v9")).repartition("doc_id", "part").write.partitionBy("doc_id", "part").text(path)
     rows, about = extractions.read_triple_documents(spark, path)
-    joined = rows.join(about.select("doc_id", "ontology_version", "triple_count"), "doc_id")
+    # three rows: joined by a shuffle, a document's triples would meet in one task
+    joined = rows.join(F.broadcast(about.select("doc_id", "ontology_version", "triple_count")), "doc_id")
     return joined.select("doc_id", "seq", "id", "s_name", "s_type", "code", "o_name", "o_type", F.element_at("s_props", "kind").alias("s_kind"), F.element_at("p_props", "time").alias("time"), "ontology_version", "triple_count")
 
 

@@ -44,12 +44,14 @@ def _of_triple(t: Column) -> list[Column]:
 
 def read_triple_documents(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Triples (doc_id, seq, id and the triple columns) and metadata (doc_id, source_document, ontology_version, triple_count) of
-    triple documents: files of {"metadata": ..., "triples": [...]}. A document's id is its source, or else its file's name."""
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.from_json("value", f"metadata struct<source_document:string,ontology_version:string,triple_count:long>, triples array<{TRIPLE}>").alias("j"))
+    triple documents: files of {"metadata": ..., "triples": [...]}. A document's id is its source, or else its file's name; a
+    file whose metadata has first_seq continues its document from that triple."""
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.from_json("value", f"metadata struct<source_document:string,ontology_version:string,triple_count:long,first_seq:long>, triples array<{TRIPLE}>").alias("j"))
     named = files.withColumn("doc_id", document_label(F.lit(None).cast("string"), F.nullif("j.metadata.source_document", F.lit("")), F.col("file")))
-    rows = named.select("doc_id", F.posexplode("j.triples").alias("pos", "t"))
-    triples = rows.select("doc_id", (F.col("pos") + 1).cast("long").alias("seq"), F.col("t.id").alias("id"), *_of_triple(F.col("t")), F.col("t.source_chunk").alias("chunk_id"))
-    return triples, named.select("doc_id", "j.metadata.*")
+    first = F.coalesce("j.metadata.first_seq", F.lit(1))
+    rows = named.select("doc_id", first.alias("first"), F.posexplode("j.triples").alias("pos", "t"))
+    triples = rows.select("doc_id", (F.col("pos") + F.col("first")).cast("long").alias("seq"), F.col("t.id").alias("id"), *_of_triple(F.col("t")), F.col("t.source_chunk").alias("chunk_id"))
+    return triples, named.filter(first == 1).select("doc_id", "j.metadata.*").drop("first_seq")
 
 
 def read_bridge(spark: SparkSession, path: str) -> DataFrame:

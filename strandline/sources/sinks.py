@@ -22,13 +22,15 @@ def triple_json(triples: DataFrame) -> DataFrame:
     )
 
 
-def triple_documents(triples: DataFrame, metadata: DataFrame) -> DataFrame:
-    """doc_id and value: one triple document each, metadata first, triples in order. A document's triples become one value,
-    as its format asks; write_by_document() is the form without that bound."""
-    rows = triple_json(triples).groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "json"))), lambda t: t["json"]), ",\n").alias("rows"))
-    about = metadata.select("doc_id", F.to_json(F.struct(*[c for c in metadata.columns if c != "doc_id"])).alias("about"))
+def triple_documents(triples: DataFrame, metadata: DataFrame, most: int = 10_000) -> DataFrame:
+    """doc_id, part and value: triple documents, metadata first, triples in order. A document of more than `most` triples is
+    several such values, so that none grows with it: their metadata says of which triple each is the first (first_seq)."""
+    part = F.floor((F.col("seq") - 1) / most).cast("long")
+    rows = triple_json(triples).groupBy("doc_id", part.alias("part")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "json"))), lambda t: t["json"]), ",\n").alias("rows"))
+    first = F.when(F.col("part") > 0, F.col("part") * most + 1)
+    about = F.to_json(F.struct(*[c for c in metadata.columns if c != "doc_id"], first.alias("first_seq")))
     # one line, for writers that end a row with one
-    return about.join(rows, "doc_id").select("doc_id", F.concat(F.lit('{"metadata":'), "about", F.lit(',"triples":['), F.replace("rows", F.lit("\n"), F.lit("")), F.lit("]}")).alias("value"))
+    return metadata.join(rows, "doc_id").select("doc_id", "part", F.concat(F.lit('{"metadata":'), about, F.lit(',"triples":['), F.replace("rows", F.lit("\n"), F.lit("")), F.lit("]}")).alias("value"))
 
 
 def node_statement(name: Column, type_: Column, bag: Column, source: Column) -> Column:

@@ -302,3 +302,16 @@ def test_ids_of_one_document_are_numbered_in_several_tasks(spark):
     assert len(sizes) > 1 and max(sizes) < n / 2
     assert sorted(r["seq"] for r in got if r["doc_id"]) == list(range(1, n - n // 10 + 1))
     assert all(r["seq"] == (r["a"] // 10 + 1 if r["doc_id"] is None else r["a"] - r["a"] // 10) and r["id"] == f"T{r['seq']:04d}" for r in got)
+
+
+def test_large_triple_documents_are_written_in_parts(spark, tmp_path):
+    names = "s_name string, s_type string, s_props map<string,string>, code string, p_props map<string,string>, o_name string, o_type string, o_props map<string,string>, evidence string, chunk_id string"
+    rows = [(d, k, f"T{k:04d}", f"n{k}", "Event", {"k": "v"}, "CAUSES", {}, "y", "Event", {}, "e", "1") for d, n in (("long", 7), ("short", 3)) for k in range(1, n + 1)]
+    given = spark.createDataFrame(rows, f"doc_id string, seq long, id string, {names}")
+    values = sinks.triple_documents(given, merge.document_metadata(given, "none", "v1"), most=3)
+    assert {(r["doc_id"], r["part"]): len(json.loads(r["value"])["triples"]) for r in values.collect()} == {("long", 0): 3, ("long", 1): 3, ("long", 2): 1, ("short", 0): 3}
+    assert "first_seq" not in json.loads(values.filter("part = 0").first()["value"])["metadata"]
+    values.repartition("doc_id", "part").write.partitionBy("doc_id", "part").text(str(tmp_path / "documents"))
+    triples, about = extractions.read_triple_documents(spark, str(tmp_path / "documents"))
+    assert sorted((r["doc_id"], r["seq"], r["id"], r["s_name"]) for r in triples.collect()) == sorted((r[0], r[1], r[2], r[3]) for r in rows)
+    assert sorted((r["doc_id"], r["triple_count"]) for r in about.collect()) == [("long", 7), ("short", 3)]
