@@ -1,15 +1,17 @@
 """Iterative graph operators.
 
-Per document they run in one task each (applyInPandas on the document's distinct edges, which are few after dedup);
+Per document they run in one task each (on the document's distinct edges, as numbers where a document's whole graph is needed);
 PageRank and label propagation also have a mode of DataFrame rounds for graphs beyond one task's memory.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,33 +23,39 @@ DAMPING, ROUNDS, LPA_ROUNDS = 0.85, 60, 30
 DEEPEST, BUDGET, KEEP = 6, 2500, 28
 
 
-def _with_nodes(edge: DataFrame, node: DataFrame) -> DataFrame:
-    """Nodes and edges of each document in one table, for one task a document: kind 0 rows are nodes."""
-    n = node.select("doc_id", F.lit(0).alias("kind"), F.col("first").alias("at"), F.col("name").alias("a"), F.lit("").alias("b"))
+def _by_document(edge: DataFrame, node: DataFrame, value: str, kind: str, run: Callable[[int, np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """doc_id, name, value: run(n, a, b) on each document's distinct edges, in order, in one task. Nodes go there and back as numbers:
+    names stay in the JVM, as a document's names take far more memory than its graph."""
+    side = lambda c: node.select(F.col("doc_id").alias(f"of_{c}"), F.col("name").alias(f"name_{c}"), F.col("first").alias(c))
     e = edge.groupBy("doc_id", "src", "dst").agg(F.min("seq").alias("at"))
-    return n.union(e.select("doc_id", F.lit(1), "at", "src", "dst"))
+    for c, end in (("a", "src"), ("b", "dst")):
+        e = e.join(side(c), F.col("doc_id").eqNullSafe(F.col(f"of_{c}")) & (F.col(end) == F.col(f"name_{c}")))
+    rows = node.select("doc_id", F.col("first").alias("at"), F.col("first").alias("a"), F.lit(-1).cast("long").alias("b")).union(e.select("doc_id", "at", "a", "b"))
 
+    def task(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        at, a, b = (table.column(c).to_numpy() for c in ("at", "a", "b"))
+        del table
+        nodes, edges = np.sort(a[b < 0]), np.flatnonzero(b >= 0)
+        edges = edges[np.argsort(at[edges], kind="stable")]
+        found = run(len(nodes), np.searchsorted(nodes, a[edges]), np.searchsorted(nodes, b[edges]))
+        return pa.table({"of": pa.repeat(key[0], len(nodes)), "at": nodes, value: found})
 
-def _indexed(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    names = pdf[pdf["kind"] == 0].sort_values("at")["a"].to_numpy()
-    place = {x: k for k, x in enumerate(names)}
-    edges = pdf[pdf["kind"] == 1].sort_values("at")
-    return names, edges["a"].map(place).to_numpy(np.int64), edges["b"].map(place).to_numpy(np.int64)
+    found = rows.groupBy("doc_id").applyInArrow(task, f"of string, at long, {value} {kind}")
+    return node.join(found, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("first") == F.col("at"))).select("doc_id", "name", value)
 
 
 def pagerank(edge: DataFrame, node: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, name, pagerank: fixed rounds, parallel edges once, mass of nodes without out-edges spread over all."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        names, a, b = _indexed(pdf)
-        n, out = len(names), np.bincount(a, minlength=len(names))
+    def run(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        out = np.bincount(a, minlength=n)
         rank = np.full(n, 1.0 / n)
         for _ in range(rounds):
             share = np.divide(rank, out, out=np.zeros(n), where=out > 0)
             rank = (1 - damping) / n + damping * (np.bincount(b, weights=share[a], minlength=n) + rank[out == 0].sum() / n)
-        return pd.DataFrame({"doc_id": pdf["doc_id"].iloc[0], "name": names, "pagerank": rank})
+        return rank
 
-    return _with_nodes(edge, node).groupBy("doc_id").applyInPandas(run, "doc_id string, name string, pagerank double")
+    return _by_document(edge, node, "pagerank", "double", run)
 
 
 def pagerank_rounds(edge: DataFrame, node: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
@@ -68,9 +76,7 @@ def communities_in_order(edge: DataFrame, node: DataFrame, rounds: int = LPA_ROU
     """Label propagation in place, in order of appearance; most frequent neighbour label, the smallest of equals.
     doc_id, name, community (by size, then first appearance)."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        names, a, b = _indexed(pdf)
-        n = len(names)
+    def run(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         pairs = np.unique(np.concatenate((a * n + b, b * n + a)))
         src, dst = pairs // n, pairs % n
         at = np.searchsorted(src, np.arange(n + 1))
@@ -78,7 +84,9 @@ def communities_in_order(edge: DataFrame, node: DataFrame, rounds: int = LPA_ROU
         for _ in range(rounds):
             before = label.copy()
             for v in range(n):
-                if at[v] < at[v + 1]:
+                if at[v] + 1 == at[v + 1]:
+                    label[v] = label[dst[at[v]]]
+                elif at[v] < at[v + 1]:
                     kinds, counts = np.unique(label[dst[at[v] : at[v + 1]]], return_counts=True)
                     label[v] = kinds[counts.argmax()]
             if (before == label).all():
@@ -87,9 +95,9 @@ def communities_in_order(edge: DataFrame, node: DataFrame, rounds: int = LPA_ROU
         order = np.lexsort((first, -counts))
         place = np.empty(len(kinds), np.int64)
         place[order] = np.arange(len(kinds))
-        return pd.DataFrame({"doc_id": pdf["doc_id"].iloc[0], "name": names, "community": place[np.searchsorted(kinds, label)]})
+        return place[np.searchsorted(kinds, label)]
 
-    return _with_nodes(edge, node).groupBy("doc_id").applyInPandas(run, "doc_id string, name string, community long")
+    return _by_document(edge, node, "community", "long", run)
 
 
 def communities_in_step(edge: DataFrame, node: DataFrame, rounds: int = LPA_ROUNDS) -> DataFrame:

@@ -315,3 +315,13 @@ def test_large_triple_documents_are_written_in_parts(spark, tmp_path):
     triples, about = extractions.read_triple_documents(spark, str(tmp_path / "documents"))
     assert sorted((r["doc_id"], r["seq"], r["id"], r["s_name"]) for r in triples.collect()) == sorted((r[0], r[1], r[2], r[3]) for r in rows)
     assert sorted((r["doc_id"], r["triple_count"]) for r in about.collect()) == [("long", 7), ("short", 3)]
+
+
+def test_graphs_of_documents_go_to_python_as_numbers(spark):
+    edge = spark.createDataFrame([(d, 2 * k, a, b) for d in ("d", None) for k, (a, b) in enumerate(["xy", "zz", "yw"])], "doc_id string, seq long, src string, dst string")
+    node = spark.createDataFrame([(d, n, k) for d in ("d", None) for k, n in enumerate("xyzwv")], "doc_id string, name string, first long")
+    found = iterative.communities_in_order(edge, node)
+    assert sorted((r["name"], r["community"]) for r in found.filter("doc_id is null").collect()) == [("v", 2), ("w", 0), ("x", 0), ("y", 0), ("z", 1)]
+    assert sum(r["pagerank"] for r in iterative.pagerank(edge, node).collect()) == pytest.approx(2)
+    sent = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "FlatMapGroupsInArrow" in line]
+    assert len(sent) == 1 and "name" not in sent[0].split("task(", 1)[1].split(")", 1)[0]
