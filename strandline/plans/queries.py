@@ -451,12 +451,14 @@ def ontology_file_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(ORACLE_SQL["master_schema"])
 def streamed_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """master_schema() by streaming: documents arrive as files, batch by batch."""
+    """master_schema() by streaming: documents arrive one after another, each as many files, and each is a batch."""
     order = F.create_map(F.lit("geo"), F.lit(2), F.lit("trade"), F.lit(1), F.lit("behaviour"), F.lit(3))
     inbox, folder = scratch(spark), scratch(spark)
-    bagged(triples(spark, sf_dir)).withColumn("doc_seq", F.element_at(order, F.col("doc_id"))).repartition("doc_id").write.parquet(inbox)
-    arriving = spark.readStream.schema(spark.read.parquet(inbox).schema).option("maxFilesPerTrigger", 1).parquet(inbox)
-    state.start(arriving, folder, f"{folder}/checkpoint", small_bridge(spark)).awaitTermination()
+    found = bagged(triples(spark, sf_dir)).withColumn("doc_seq", F.element_at(order, F.col("doc_id")))
+    for doc in ("geo", "trade", "behaviour"):
+        found.filter(F.col("doc_id") == doc).write.mode("append").parquet(inbox)
+        arriving = spark.readStream.schema(found.schema).parquet(inbox)
+        state.start(arriving, folder, f"{folder}/checkpoint", small_bridge(spark)).awaitTermination()
     return listed_schema(state.master_schema(spark, folder))
 
 

@@ -325,3 +325,16 @@ def test_graphs_of_documents_go_to_python_as_numbers(spark):
     assert sum(r["pagerank"] for r in iterative.pagerank(edge, node).collect()) == pytest.approx(2)
     sent = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "FlatMapGroupsInArrow" in line]
     assert len(sent) == 1 and "name" not in sent[0].split("task(", 1)[1].split(")", 1)[0]
+
+
+def test_a_streamed_document_is_many_files(spark, monkeypatch, tmp_path):
+    from strandline.plans import queries as core
+
+    rows = [(d, k, f"T{k:04d}", f"n{k}", "Event", "CAUSES", f"n{k % 7}", "Damage") for d in ("geo", "trade", "behaviour") for k in range(1, 40)]
+    given = spark.createDataFrame(rows, "doc_id string, seq long, id string, s_name string, s_type string, code string, o_name string, o_type string").repartition(4).localCheckpoint()
+    paths = iter([str(tmp_path / "inbox"), str(tmp_path / "state")])
+    monkeypatch.setattr(core, "triples", lambda *_: given)
+    monkeypatch.setattr(core, "scratch", lambda _: next(paths))
+    streamed = core.QUERIES["streamed_schema"](spark, "").collect()
+    assert len(list((tmp_path / "inbox").glob("*.parquet"))) > 3
+    assert sorted(map(str, streamed)) == sorted(map(str, core.QUERIES["master_schema"](spark, "").collect())) and len(streamed) == 5
