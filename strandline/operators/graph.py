@@ -96,8 +96,7 @@ def merged_nodes(triples: DataFrame) -> DataFrame:
     if "doc_seq" not in triples.columns:
         triples = triples.withColumn("doc_seq", F.lit(None).cast("int"))
     rows = sides(triples, props=True).filter(F.length("name") > 0).select("doc_id", "doc_seq", F.struct("doc_seq", "doc_id", "seq", "side").alias("at"), "name", F.coalesce(F.nullif("type", F.lit("")), F.lit("Other")).alias("type"), "props")
-    entries = rows.select("name", "type", "at", F.explode("props").alias("key", "value")).groupBy("name", "type", "key").agg(F.max_by("value", "at").alias("value"))
-    bags = entries.groupBy("name", "type").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("props"))
+    bags = _last_bags(rows, ["name", "type"], "props")
     loaded = F.array_sort(F.collect_set(F.struct(F.coalesce("doc_seq", F.lit(0)).alias("doc_seq"), "doc_id")))
     seen = rows.groupBy("name", "type").agg(F.count("*").alias("mentions"), F.transform(loaded, lambda d: d["doc_id"]).alias("source_docs"))
     return seen.join(bags, ["name", "type"], "left").withColumn("props", F.coalesce("props", F.from_json(F.lit("{}"), "map<string,string>")))
@@ -111,9 +110,15 @@ def merged_edges(triples: DataFrame) -> DataFrame:
     last = rows.groupBy(*keys).agg(F.count("*").alias("triples"), F.max_by("id", "at").alias("id"), F.max("at")["doc_id"].alias("source_doc"))
     if "p_props" not in triples.columns:
         return last
-    entries = rows.select(*keys, "at", F.explode("p_props").alias("key", "value")).groupBy(*keys, "key").agg(F.max_by("value", "at").alias("value"))
-    bags = entries.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("p_props"))
-    return last.join(bags, keys, "left")
+    return last.join(_last_bags(rows, keys, "p_props"), keys, "left")
+
+
+def _last_bags(rows: DataFrame, by: list[str], bag: str) -> DataFrame:
+    """by, bag: the value that is last by `at`, of each key. Of rows whose bags have the same keys only the last can count, so
+    the others go before bags are taken apart: aggregates of strings are sorted, and a task would sort every entry."""
+    alike = rows.groupBy(*by, F.array_sort(F.map_keys(bag)).alias("keys")).agg(F.max_by(F.struct("at", bag), "at").alias("last"))
+    entries = alike.select(*by, F.col("last.at").alias("at"), F.explode(f"last.{bag}").alias("key", "value")).groupBy(*by, "key").agg(F.max_by("value", "at").alias("value"))
+    return entries.groupBy(*by).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias(bag))
 
 
 def match_edges(edge: DataFrame, stored: DataFrame) -> DataFrame:

@@ -338,3 +338,14 @@ def test_a_streamed_document_is_many_files(spark, monkeypatch, tmp_path):
     streamed = core.QUERIES["streamed_schema"](spark, "").collect()
     assert len(list((tmp_path / "inbox").glob("*.parquet"))) > 3
     assert sorted(map(str, streamed)) == sorted(map(str, core.QUERIES["master_schema"](spark, "").collect())) and len(streamed) == 5
+
+
+def test_bags_with_the_same_keys_are_merged_whole(spark):
+    """Only the last of bags with the same keys is taken apart; the last value of each key is what counts, null values too."""
+    bags = [{"a": "1"}, {"b": "2", "a": "x"}, {"a": "3", "b": "y"}, {"b": None}, {"c": "4"}, {"a": "5"}, None, {}]
+    rows = [("d", k, "n", "Event", bag, "CAUSES", "m", "Event", None) for k, bag in enumerate(bags, 1)]
+    given = spark.createDataFrame(rows, "doc_id string, seq long, s_name string, s_type string, s_props map<string,string>, code string, o_name string, o_type string, o_props map<string,string>")
+    merged = graph.merged_nodes(given)
+    assert {r["name"]: r["props"] for r in merged.collect()} == {"n": {"a": "5", "b": None, "c": "4"}, "m": {}}
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan[plan.index("Generate explode") :]
