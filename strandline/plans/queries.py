@@ -11,7 +11,7 @@ from .. import ontology
 from ..functions import text as X
 from ..functions import triples as P
 from ..operators import checks, chunking, graph, iterative, merge, predict, resolve, schema_state
-from ..operators.durable import scratch
+from ..operators.durable import scratch, stored
 from ..sources import documents, extractions, sinks
 from ..streaming import state
 from . import dashboard
@@ -863,7 +863,8 @@ def graph_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     for doc in ("geo", "trade", "behaviour"):
         own = every.filter(F.col("doc_id") == doc)
         first = merge.sides(own).groupBy("name", "type").agg(F.min(2 * F.col("seq") + F.col("side")).alias("seq"))
-        lines = sinks.graph_statements(graph.merged_nodes(own).join(first, ["name", "type"]), own, doc).withColumn("doc_id", F.lit(doc))
+        nodes = stored(graph.merged_nodes(own).join(first, ["name", "type"]))  # counted, and written
+        lines = sinks.graph_statements(nodes, own, doc).withColumn("doc_id", F.lit(doc))
         out = lines if out is None else out.unionByName(lines)
     return out.select("doc_id", "part", "ord", "line")
 

@@ -349,3 +349,9 @@ def test_bags_with_the_same_keys_are_merged_whole(spark):
     assert {r["name"]: r["props"] for r in merged.collect()} == {"n": {"a": "5", "b": None, "c": "4"}, "m": {}}
     plan = merged._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" in plan[plan.index("Generate explode") :]
+
+
+def test_nodes_of_a_graph_file_are_merged_once(spark, sf_dir):
+    from strandline.plans import queries as core
+
+    assert "map_from_entries" not in core.QUERIES["graph_files"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
