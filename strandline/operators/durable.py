@@ -29,6 +29,25 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hashed(df: DataFrame) -> DataFrame:
+    """df, the smaller side of a join, to be hashed where it is too large to be broadcast: a sort-merge join would sort both
+    sides, and a task's memory would grow with the larger one."""
+    most = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return df if _estimated(df) <= most else df.hint("shuffle_hash")
+
+
+def dealt(df: DataFrame, *by: str, mb: int = 2) -> DataFrame:
+    """df by `by` over as many partitions as it has `mb` MB by Spark's estimate, so that what a task sorts does not grow with
+    the input. Small tables are left to Spark: below that size one task is enough."""
+    n = _estimated(df) // (mb << 20)
+    return df.repartition(n, *by) if n > 1 else df
+
+
+def _estimated(df: DataFrame) -> int:
+    """Bytes of df, as the planner takes them from files and columns."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, as the cluster names it. Only a local master may do without one.
     Checkpoints in it go when the driver's JVM ends."""

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.durable import dealt, hashed
 from ..operators.merge import dedup_first, with_ids
 
 
@@ -26,10 +27,10 @@ def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation, part, orders = t("nation"), t("part"), t("orders")
     flag, status = F.concat(F.lit("flag_"), "l_returnflag"), F.concat(F.lit("order_"), "o_orderstatus")
     item = t("lineitem")
-    bought = item.join(part, F.col("l_partkey") == F.col("p_partkey"))
-    filled = orders.join(item, F.col("o_orderkey") == F.col("l_orderkey"))
+    bought = item.join(hashed(part.select("p_partkey", "p_type")), F.col("l_partkey") == F.col("p_partkey"))
+    filled = item.join(hashed(orders.select("o_orderkey", "o_orderstatus")), F.col("o_orderkey") == F.col("l_orderkey"))
     before = F.lag("event_type").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    follows = t("events").withColumn("before", before).filter("before is not null")
+    follows = dealt(t("events").select("user_id", "ts", "event_id", "event_type"), "user_id").withColumn("before", before).filter("before is not null")
     return reduce(
         DataFrame.unionByName,
         [

@@ -355,3 +355,22 @@ def test_nodes_of_a_graph_file_are_merged_once(spark, sf_dir):
     from strandline.plans import queries as core
 
     assert "map_from_entries" not in core.QUERIES["graph_files"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_mentions_of_large_tables_are_not_sorted_whole(spark, sf_dir):
+    """No table is small enough to be broadcast: line items are not sorted for their joins, and events are dealt by size."""
+    from strandline.operators.durable import dealt
+    from strandline.plans import corpus
+
+    wanted = sorted(map(str, merge.dedup_first(corpus.mentions(spark, sf_dir)).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        first = merge.dedup_first(corpus.mentions(spark, sf_dir))
+        plan = first._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, first.collect())) == wanted
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not [line for line in plan.splitlines() if "SortMergeJoin" in line and ("l_orderkey" in line or "l_partkey" in line)]
+    assert plan.count("ShuffledHashJoin") == 2
+    assert dealt(spark.range(1 << 20), "id", mb=2).rdd.getNumPartitions() == 4
+    assert dealt(spark.range(100).coalesce(1), "id").rdd.getNumPartitions() == 1
