@@ -34,8 +34,10 @@ def nodes(edge: DataFrame) -> DataFrame:
 
 
 def with_centrality(node: DataFrame) -> DataFrame:
-    n = F.count("*").over(Window.partitionBy("doc_id"))
-    return node.withColumn("deg_cent", F.when(n > 1, F.col("deg") / (n - 1)).otherwise(F.lit(0.0)))
+    """node with deg_cent. Nodes are counted by an aggregation and a join: a window would hold a whole document in one task."""
+    sizes = node.groupBy(F.col("doc_id").alias("__of")).agg(F.count("*").alias("__n"))
+    n, sized = F.col("__n"), node.join(sizes, F.col("doc_id").eqNullSafe(F.col("__of")))
+    return sized.withColumn("deg_cent", F.when(n > 1, F.col("deg") / (n - 1)).otherwise(F.lit(0.0))).drop("__of", "__n")
 
 
 def type_distribution(node: DataFrame) -> DataFrame:

@@ -374,3 +374,10 @@ def test_mentions_of_large_tables_are_not_sorted_whole(spark, sf_dir):
     assert plan.count("ShuffledHashJoin") == 2
     assert dealt(spark.range(1 << 20), "id", mb=2).rdd.getNumPartitions() == 4
     assert dealt(spark.range(100).coalesce(1), "id").rdd.getNumPartitions() == 1
+
+
+def test_centrality_needs_no_window_over_a_document(spark):
+    node = spark.createDataFrame([(d, n, k) for d in ("d", None) for k, n in enumerate("xyz")] + [("one", "x", 2)], "doc_id string, name string, deg long")
+    found = graph.with_centrality(node)
+    assert sorted((str(r["doc_id"]), r["name"], r["deg_cent"]) for r in found.collect()) == sorted([(d, n, k / 2) for d in ("d", "None") for k, n in enumerate("xyz")] + [("one", "x", 0.0)])
+    assert found.columns == [*node.columns, "deg_cent"] and "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
