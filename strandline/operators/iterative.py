@@ -6,7 +6,7 @@ PageRank and label propagation also have a mode of DataFrame rounds for graphs b
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -25,7 +25,8 @@ DEEPEST, BUDGET, KEEP = 6, 2500, 28
 
 def _by_document(edge: DataFrame, node: DataFrame, value: str, kind: str, run: Callable[[int, np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
     """doc_id, name, value: run(n, a, b) on each document's distinct edges, in order, in one task. Nodes go there and back as numbers:
-    names stay in the JVM, as a document's names take far more memory than its graph."""
+    names stay in the JVM, as a document's names take far more memory than its graph. Numbers go there packed by batches, as Spark sorts
+    the rows of a task by document, and a row takes several times the memory of its numbers."""
     side = lambda c: node.select(F.col("doc_id").alias(f"of_{c}"), F.col("name").alias(f"name_{c}"), F.col("first").alias(c))
     e = edge.groupBy("doc_id", "src", "dst").agg(F.min("seq").alias("at"))
     for c, end in (("a", "src"), ("b", "dst")):
@@ -33,17 +34,46 @@ def _by_document(edge: DataFrame, node: DataFrame, value: str, kind: str, run: C
     rows = node.select("doc_id", F.col("first").alias("at"), F.col("first").alias("a"), F.lit(-1).cast("long").alias("b")).union(e.select("doc_id", "at", "a", "b"))
 
     def task(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        at, a, b = (table.column(c).to_numpy() for c in ("at", "a", "b"))
+        nodes, at, a, b = _unpacked(table)
         del table
-        nodes, edges = np.sort(a[b < 0]), np.flatnonzero(b >= 0)
-        edges = edges[np.argsort(at[edges], kind="stable")]
-        found = run(len(nodes), np.searchsorted(nodes, a[edges]), np.searchsorted(nodes, b[edges]))
+        nodes, order = np.sort(nodes), np.argsort(at, kind="stable")
+        found = run(len(nodes), np.searchsorted(nodes, a[order]), np.searchsorted(nodes, b[order]))
         return pa.table({"of": pa.repeat(key[0], len(nodes)), "at": nodes, value: found})
 
-    found = rows.groupBy("doc_id").applyInArrow(task, f"of string, at long, {value} {kind}")
+    packed = rows.mapInArrow(_packed, "doc_id string, nodes long, wide boolean, numbers binary")
+    found = packed.groupBy("doc_id").applyInArrow(task, f"of string, at long, {value} {kind}")
     return node.join(found, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("first") == F.col("at"))).select("doc_id", "name", value)
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each document of a batch: numbers are its nodes (as many as `nodes`), then at, a and b of its edges, of 8 bytes where
+    one of them needs it (wide), else of 4."""
+    for batch in batches:
+        doc = batch.column("doc_id").dictionary_encode("encode")
+        of, (at, a, b) = doc.indices.to_numpy(), (batch.column(c).to_numpy() for c in ("at", "a", "b"))
+        order = np.argsort(of, kind="stable")
+        out = []
+        for rows in np.split(order, np.flatnonzero(np.diff(of[order])) + 1) if len(order) else []:
+            ends, edges = rows[b[rows] < 0], rows[b[rows] >= 0]
+            numbers = np.concatenate((a[ends], at[edges], a[edges], b[edges]))
+            wide = bool(numbers.max() >= 2**31)
+            out.append((len(ends), wide, numbers.astype("<i8" if wide else "<i4").tobytes(), of[rows[0]]))
+        if out:
+            nodes, wide, numbers, which = zip(*out, strict=True)
+            yield pa.RecordBatch.from_arrays([doc.dictionary.take(pa.array(which)), pa.array(nodes, pa.int64()), pa.array(wide), pa.array(numbers, pa.binary())], ["doc_id", "nodes", "wide", "numbers"])
+
+
+def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes, and at, a and b of the edges, of a document's rows."""
+    nodes, edges = [], []
+    for n, wide, numbers in zip(table.column("nodes").to_pylist(), table.column("wide").to_pylist(), table.column("numbers"), strict=True):
+        x = np.frombuffer(numbers.as_buffer(), "<i8" if wide else "<i4")
+        nodes.append(x[:n])
+        edges.append(x[n:].reshape(3, -1))
+    at, a, b = np.concatenate(edges, axis=1).astype(np.int64)
+    return np.concatenate(nodes).astype(np.int64), at, a, b
+
+
 def pagerank(edge: DataFrame, node: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, name, pagerank: fixed rounds, parallel edges once, mass of nodes without out-edges spread over all."""
 

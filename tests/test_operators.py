@@ -1,5 +1,7 @@
 import json
 
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 
@@ -381,3 +383,20 @@ def test_centrality_needs_no_window_over_a_document(spark):
     found = graph.with_centrality(node)
     assert sorted((str(r["doc_id"]), r["name"], r["deg_cent"]) for r in found.collect()) == sorted([(d, n, k / 2) for d in ("d", "None") for k, n in enumerate("xyz")] + [("one", "x", 0.0)])
     assert found.columns == [*node.columns, "deg_cent"] and "Window" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_document_is_sorted_in_packed_rows(spark):
+    """Numbers of any width, null and single documents come through the packing, and a task sorts batches, not edges."""
+    wide = 2**33
+    rows = [("d", wide + k, -1) for k in range(5)] + [(None, 7, -1), (None, 2**31 - 1, -1)] + [("d", wide + k, wide + k + 1) for k in range(4)] + [("e", 1, -1)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": [r[0] for r in rows], "at": list(range(len(rows))), "a": [r[1] for r in rows], "b": [r[2] for r in rows]})
+    packed = pa.Table.from_batches([*iterative._packed([batch, batch.slice(0, 0), batch.slice(11)])])
+    assert packed.num_rows == 4
+    given = {d: [x.tolist() for x in iterative._unpacked(packed.filter(pa.compute.is_null(packed["doc_id"]) if d is None else pa.compute.equal(packed["doc_id"], d)))] for d in ("d", None, "e")}
+    assert given == {"d": [[wide + k for k in range(5)], [7, 8, 9, 10], [wide + k for k in range(4)], [wide + k + 1 for k in range(4)]], None: [[7, 2**31 - 1], [], [], []], "e": [[1, 1], [], [], []]}
+    edge = spark.createDataFrame([("d", k, f"n{k}", f"n{k + 1}") for k in range(300)], "doc_id string, seq long, src string, dst string")
+    node = spark.createDataFrame([("d", f"n{k}", 2 * k) for k in range(301)], "doc_id string, name string, first long")
+    found = iterative.pagerank(edge, node)
+    assert found.count() == 301 and sum(r["pagerank"] for r in found.collect()) == pytest.approx(1)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan[plan.index("FlatMapGroupsInArrow") :]
