@@ -27,7 +27,7 @@ def _by_document(edge: DataFrame, node: DataFrame, value: str, kind: str, run: C
     """doc_id, name, value: run(n, a, b) on each document's distinct edges, in order, in one task. Nodes go there and back as numbers:
     names stay in the JVM, as a document's names take far more memory than its graph. Numbers go there packed by batches, as Spark sorts
     the rows of a task by document, and a row takes several times the memory of its numbers."""
-    side = lambda c: node.select(F.col("doc_id").alias(f"of_{c}"), F.col("name").alias(f"name_{c}"), F.col("first").alias(c))
+    side = lambda c: node.select(F.col("doc_id").alias(f"of_{c}"), F.col("name").alias(f"name_{c}"), F.col("first").alias(c)).hint("merge")  # noqa: E731  Spark takes nodes for smaller than they are, and would broadcast them
     e = edge.groupBy("doc_id", "src", "dst").agg(F.min("seq").alias("at"))
     for c, end in (("a", "src"), ("b", "dst")):
         e = e.join(side(c), F.col("doc_id").eqNullSafe(F.col(f"of_{c}")) & (F.col(end) == F.col(f"name_{c}")))
@@ -42,7 +42,7 @@ def _by_document(edge: DataFrame, node: DataFrame, value: str, kind: str, run: C
 
     packed = rows.mapInArrow(_packed, "doc_id string, nodes long, wide boolean, numbers binary")
     found = packed.groupBy("doc_id").applyInArrow(task, f"of string, at long, {value} {kind}")
-    return node.join(found, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("first") == F.col("at"))).select("doc_id", "name", value)
+    return node.hint("merge").join(found, F.col("doc_id").eqNullSafe(F.col("of")) & (F.col("first") == F.col("at"))).select("doc_id", "name", value)
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,8 +271,8 @@ def summary(edge: DataFrame, node: DataFrame, labels: DataFrame, label_col: str,
 
 
 def complete_paths(paths: DataFrame, node: DataFrame) -> DataFrame:
-    """doc_id and number of kept paths that run from a hazard to a damage."""
-    kind = node.select("doc_id", "name", "type")
+    """doc_id and number of kept paths that run from a hazard to a damage. Nodes are never broadcast: they are many, paths few."""
+    kind = node.select("doc_id", "name", "type").hint("merge")
     joined = paths.select("doc_id", "place", F.element_at("path", 1).alias("a"), F.element_at("path", -1).alias("b"))
     joined = joined.join(kind.select("doc_id", F.col("name").alias("a"), F.col("type").alias("ta")), ["doc_id", "a"]).join(kind.select("doc_id", F.col("name").alias("b"), F.col("type").alias("tb")), ["doc_id", "b"])
     return joined.groupBy("doc_id").agg(F.count("*").alias("paths"), F.count_if(is_complete(F.col("ta"), F.col("tb"))).alias("complete"))

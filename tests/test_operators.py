@@ -400,3 +400,14 @@ def test_a_document_is_sorted_in_packed_rows(spark):
     assert found.count() == 301 and sum(r["pagerank"] for r in found.collect()) == pytest.approx(1)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "MapInArrow" in plan[plan.index("FlatMapGroupsInArrow") :]
+
+
+def test_nodes_are_not_broadcast(spark):
+    """Nodes grow with the input; what Spark takes for their size is that of compressed files."""
+    edge = spark.createDataFrame([("d", k, f"n{k}", f"n{k + 1}") for k in range(3)], "doc_id string, seq long, src string, dst string")
+    node = spark.createDataFrame([("d", f"n{k}", "Event", 2 * k) for k in range(4)], "doc_id string, name string, type string, first long")
+    paths = spark.createDataFrame([("d", 1, ["n0", "n1", "n2"])], "doc_id string, place long, path array<string>")
+    done = iterative.complete_paths(paths, node)
+    assert [tuple(r) for r in done.collect()] == [("d", 1, 0)]
+    sides = [iterative.pagerank(edge, node)._jdf.queryExecution().executedPlan().toString(), done._jdf.queryExecution().executedPlan().toString()]
+    assert not any("BroadcastHashJoin" in side for side in sides)
