@@ -195,7 +195,7 @@ def visualize(a: argparse.Namespace) -> None:
     triples, label, _ = read_document(a.src)
     page, stats = dashboard.page(triples.withColumn("doc_id", F.lit(label)), a.title or label, a.home, a.top)
     with open(a.out, "w", encoding="utf-8") as f:
-        f.write(page)
+        f.writelines(page)
     print(f"OK: {a.out}\n  " + " ".join(f"{k}={v}" for k, v in stats.items()))
 
 

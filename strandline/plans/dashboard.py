@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -44,14 +45,20 @@ def views(triples: DataFrame, top: int = 30) -> dict[str, DataFrame]:
 
 
 def payload(tables: dict[str, DataFrame]) -> DataFrame:
-    """One row, column json: {view: [rows]}. The page holds all of it, as it is the page of some documents."""
-    one = [df.agg(F.to_json(F.array_sort(F.collect_list(F.struct(*df.columns)))).alias("rows")).select(F.lit(name).alias("view"), F.coalesce("rows", F.lit("[]")).alias("rows")) for name, df in tables.items()]
-    parts = reduce(DataFrame.union, one)
-    return parts.agg(F.array_sort(F.collect_list(F.concat(F.lit('"'), "view", F.lit('":'), "rows"))).alias("v")).select(F.concat(F.lit("{"), F.array_join("v", ","), F.lit("}")).alias("json"))
+    """view, json and at: the rows of all views; those of a view are in the order of their columns by `at`, whose upper bits are
+    the number of a range of that order. So no task has more of a view than its range."""
+    one = [df.select(F.struct(*df.columns).alias("row")).orderBy("row").select(F.lit(name).alias("view"), F.to_json("row").alias("json"), F.monotonically_increasing_id().alias("at")) for name, df in tables.items()]
+    return reduce(DataFrame.union, one)
 
 
-def page(triples: DataFrame, title: str, home: str, top: int = 30) -> tuple[str, dict]:
-    """The page of one document, and its row of totals."""
+def whole(tables: dict[str, DataFrame], title: str, home: str) -> DataFrame:
+    """The page in parts: part, html."""
+    return sinks.dashboard(payload(tables), sorted(tables), title, home)
+
+
+def page(triples: DataFrame, title: str, home: str, top: int = 30) -> tuple[Iterator[str], dict]:
+    """The page of one document, part by part, and its row of totals."""
     tables = views(triples, top)
     row = tables["stats"].drop("doc_id").first()
-    return sinks.dashboard(payload(tables), title, home).first()["html"], row.asDict() if row else {}
+    parts = whole(tables, title, home).orderBy("part")
+    return (r["html"] for r in parts.toLocalIterator()), row.asDict() if row else {}

@@ -876,7 +876,7 @@ def statement_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def dashboard_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sinks.dashboard(dashboard.payload(dashboard.views(triples(spark, sf_dir))), "Triples & graph", "index.html")
+    return dashboard.whole(dashboard.views(triples(spark, sf_dir)), "Triples & graph", "index.html")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

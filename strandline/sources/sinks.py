@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import html_escape, safe_code
 from ..functions.triples import literal, node_label, overlay, props_literal
+from ..operators.durable import stored
 
 
 def write_by_document(df: DataFrame, path: str, doc_col: str = "doc_id") -> None:
@@ -104,13 +105,33 @@ const t=of("trunk")[0];layered(part("Major causal paths",t?"Most shared: "+t.src
 """
 
 
-def dashboard(payload: DataFrame, title: str, home: str) -> DataFrame:
-    """One row with the page: payload (one row, column json) in a template, title and home escaped."""
+def dashboard(payload: DataFrame, views: list[str], title: str, home: str, most: int = 100_000) -> DataFrame:
+    """part and html: the page with {view: [rows]}, views in the order given, title and home escaped. A page of more than `most`
+    rows is several parts, so that no value grows with it; one after the other, by part, they are the page.
+
+    payload: view, json and at (order in the view; its upper 31 bits are a range of rows, counted from the range's first)."""
     spark = payload.sparkSession
     escaped = spark.range(1).select(html_escape(F.lit(title)).alias("title"), html_escape(F.lit(home)).alias("home")).first()
     link = f'<a href="{escaped["home"]}">Home</a>' if home else ""
     before, after = PAGE.replace("{title}", escaped["title"]).replace("{home}", link).split("{payload}")
-    return payload.select(F.concat(F.lit(before), F.replace(F.col("json"), F.lit("</"), F.lit("<\\/")), F.lit(after)).alias("html"))
+    rows = stored(payload).withColumn("range", F.shiftright("at", 33))
+    held = rows.groupBy("view", "range").agg(F.min("at").alias("first"), F.count("*").alias("n")).collect()
+    ranges, frame, place = [], [], 0
+    for k, view in enumerate(views):
+        frame.append((place, f'{"]," if k else before + "{"}"{view}":['))
+        place += 1
+        opens = place
+        for r in sorted((r for r in held if r["view"] == view), key=lambda r: r["range"]):
+            ranges.append((view, r["range"], place - r["first"], opens))
+            place += r["n"]
+    frame.append((place, ("]}" if views else before + "{}") + after))
+    ranges = F.broadcast(spark.createDataFrame(ranges, "view string, range long, plus long, opens long"))
+    rows = rows.join(ranges, ["view", "range"]).withColumn("place", F.col("at") + F.col("plus"))
+    rows = rows.select("place", F.concat(F.when(F.col("place") == F.col("opens"), "").otherwise(","), F.replace("json", F.lit("</"), F.lit("<\\/"))).alias("text"))
+    pieces = rows.union(spark.createDataFrame(frame, "place long, text string")).withColumn("part", F.floor(F.col("place") / most).cast("long"))
+    if place >= most:
+        pieces = pieces.repartition(place // most + 1, "part")  # before rows of a part are collected, as a task would collect those of many
+    return pieces.groupBy("part").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("place", "text"))), lambda t: t["text"]), "").alias("html"))
 
 
 def parse_statements(lines: DataFrame, line_col: str = "value") -> DataFrame:

@@ -411,3 +411,34 @@ def test_nodes_are_not_broadcast(spark):
     assert [tuple(r) for r in done.collect()] == [("d", 1, 0)]
     sides = [iterative.pagerank(edge, node)._jdf.queryExecution().executedPlan().toString(), done._jdf.queryExecution().executedPlan().toString()]
     assert not any("BroadcastHashJoin" in side for side in sides)
+
+
+def test_large_pages_are_parts(spark):
+    from strandline.plans import dashboard
+
+    paths = [("d", k, None if k % 2 else f"</{k}", [k, 1]) for k in range(9, 1, -1)]
+    tables = {"paths": spark.createDataFrame(paths, "doc_id string, place long, text string, path array<long>").repartition(3), "b_none": spark.createDataFrame([], "doc_id string"), "a": spark.createDataFrame([(None, 2.5), ("d", 1.0), ("d", 1.0)], "doc_id string, x double"), "z_none": spark.createDataFrame([], "x long")}
+    whole = dashboard.whole(tables, "<T>", "h.html").collect()
+    assert [r["part"] for r in whole] == [0]
+    page = whole[0]["html"]
+    assert page.startswith("<!doctype html>") and page.endswith("</html>\n") and "<h1>&lt;T&gt;</h1>" in page and '<a href="h.html">' in page
+    text = page.split('id="payload">')[1].split("</script>")[0]
+    rows = ",".join(f'{{"doc_id":"d","place":{k},' + ("" if k % 2 else f'"text":"<\\/{k}",') + f'"path":[{k},1]}}' for k in range(2, 10))
+    assert text == '{"a":[{"x":2.5},{"doc_id":"d","x":1.0},{"doc_id":"d","x":1.0}],"b_none":[],"paths":[' + rows + '],"z_none":[]}'
+    for most in (1, 4, 15, 16, 17):  # 11 rows and 5 pieces between them
+        parts = sinks.dashboard(dashboard.payload(tables), sorted(tables), "<T>", "h.html", most=most).orderBy("part").collect()
+        assert [r["part"] for r in parts] == list(range(-(-16 // most))) and "".join(r["html"] for r in parts) == page
+    assert "".join(r["html"] for r in dashboard.whole({"z_none": tables["z_none"]}, "", "").collect()).count('{"z_none":[]}') == 1
+
+
+def test_a_page_is_written_part_by_part(spark, monkeypatch):
+    from strandline.plans import dashboard
+
+    names = "doc_id string, seq long, id string, s_name string, s_type string, code string, o_name string, o_type string"
+    given = spark.createDataFrame([("d", k, f"T{k}", f"n{k}", "Event", "CAUSES", f"n{k + 1}", "Damage") for k in range(1, 6)], names)
+    once, _ = dashboard.page(given, "t", "")
+    make = sinks.dashboard
+    monkeypatch.setattr(sinks, "dashboard", lambda *a: make(*a, most=4))
+    parts, stats = dashboard.page(given, "t", "")
+    parts = list(parts)
+    assert len(parts) > 3 and "".join(parts) == "".join(once) and stats["edges"] == 5
